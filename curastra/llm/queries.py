@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash
+from . import licences, minhash, privacy, rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": minhash.query,
+    "op5_license_scan": licences.query,
+    "op7_pii": privacy.query,
+    "op8_quality_rules": rules.query,
 }
 ORACLES: dict[str, str] = {}

@@ -119,3 +119,11 @@ def split_words(data: np.ndarray, at: np.ndarray, breaks: np.ndarray = SPACE) ->
             start, end = np.sort(np.concatenate([start, cut])), np.sort(np.concatenate([end, cut]))
     first = np.searchsorted(start, at)
     return Words(data, at, start, end, first)
+
+
+def sequence_hashes(h: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """64-bit hash of the word hashes h[first:last] of each span, by differences of prefix sums."""
+    up, down = _power("up", _BASE, len(h)), _power("down", _BASE_INV, len(h))
+    sums = np.zeros(len(h) + 1, dtype=np.uint64)
+    np.cumsum(mix(h + np.uint64(1)) * up[: len(h)], out=sums[1:])
+    return mix((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
