@@ -308,7 +308,8 @@ def _joined(col):
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find(table(spark, sf_dir, "documents"))
     base = F.filter("found", lambda x: x["kind"] < len(BASE_KINDS))
-    counts = [F.size(F.filter("found", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(BASE_KINDS)]
+    of_kind = lambda k: F.filter("found", lambda x: x["kind"] == k)
+    counts = [F.size(of_kind(k)).cast("long").alias(f"n_{name}") for k, name in enumerate(BASE_KINDS)]
     return found.select("doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("found")).alias("spans"))
 
 

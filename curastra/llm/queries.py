@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licences, minhash, privacy, rules
+from . import language, licences, minhash, privacy, quality, rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": minhash.query,
+    "op2_quality_classifier": quality.query,
     "op5_license_scan": licences.query,
     "op7_pii": privacy.query,
     "op8_quality_rules": rules.query,
+    "op10_language_id": language.query,
 }
 ORACLES: dict[str, str] = {}

@@ -176,7 +176,16 @@ def test_pii_against_brute_force(spark, sf_dir):
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(x.startswith(f"{kind}:") for x in want) for kind in BASE_PATTERNS], (k, t)
         assert r.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest(), (k, t)
         assert [x for x in r.spans.split(",") if x.split(":")[0] in BASE_PATTERNS] == want
-    assert sum("secret:" in r.spans for r in got.values()) > 5
+
+
+def test_pii_further_kinds(spark):
+    made = [(i, f'Then we set token = "{hashlib.md5(str(i).encode()).hexdigest()}" and went on, page {i}.') for i in range(30)]
+    made += [(100 + i, f"Mail to some{i}@mail.example.com now") for i in range(30)] + [(200 + i, f"see commit {hashlib.sha1(str(i).encode()).hexdigest()[:25]}x of v1.2.3 there") for i in range(30)]
+    made += [(300 + i, f"my SSN is {200 + i}-12-{3000 + i}.") for i in range(20)]
+    got = rows_of(privacy.find(spark.createDataFrame(made, "doc_id long, text string")))
+    kinds = {k: {privacy.KINDS[x.kind] for x in r.found} for k, r in got.items()}
+    assert all(kinds[i] == {"secret"} for i in range(30)) and all(kinds[100 + i] == {"email"} for i in range(30))
+    assert all(not kinds[200 + i] for i in range(30)) and all(kinds[300 + i] == {"national_id"} for i in range(20))
 
 
 def test_pii_redaction(spark):
@@ -226,13 +235,13 @@ def test_rules_against_brute_force(spark, sf_dir):
 
 def test_common_lines(spark):
     own = lambda i: " ".join(f"own{i}x{j}" for j in range(40))
-    menu = "Home   About Contact Imprint and Terms " * 3
+    menu = "Home   About Contact Imprint and Terms of this one place on the wide web for you and me "
     data = [(i, menu if i % 2 else f"{menu}\n{own(i)}", "h1") for i in range(100)] + [(1000 + i, f"{own(1000 + i)}\n{menu.upper()}", f"g{i}") for i in range(50)]
     df = spark.createDataFrame(data, "doc_id long, text string, source string")
     got = rows_of(rules.judge(df))
     kept = {k for k, r in got.items() if r.kept}
-    assert kept == {i for i in range(0, 100, 2)} | {1000 + i for i in range(50)} | ({1} if not got[1].base_failed and 0 not in got else set())
-    assert got[0].n_lost_words == 0 and got[2].n_lost_words == 21
+    assert kept == {i for i in range(0, 100, 2)} | {1000 + i for i in range(50)}  # a page of nothing but the menu goes
+    assert got[0].n_lost_words == 0 and got[2].n_lost_words == 18
     cleaned = rows_of(rules.clean(df))
     assert cleaned[2].text == own(2) and cleaned[0].text == data[0][1] and cleaned[1003].text == data[103][1] and set(cleaned) == kept
     out = rules.judge(odd(spark))
