@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, licences, minhash, privacy, quality, rules
+from . import chat, language, licences, minhash, neighbours, pieces, privacy, quality, rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": minhash.query,
     "op2_quality_classifier": quality.query,
+    "op3_sentencepiece": pieces.query,
+    "op4_nearest_neighbours": neighbours.query,
     "op5_license_scan": licences.query,
     "op7_pii": privacy.query,
     "op8_quality_rules": rules.query,
+    "op9_chat_format": chat.query,
     "op10_language_id": language.query,
 }
 ORACLES: dict[str, str] = {}
