@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, language, licences, minhash, neighbours, pieces, privacy, quality, rules
+from . import chat, language, licences, minhash, mixing, neighbours, pieces, privacy, quality, rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": minhash.query,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sentencepiece": pieces.query,
     "op4_nearest_neighbours": neighbours.query,
     "op5_license_scan": licences.query,
+    "op6_source_mix": mixing.query,
     "op7_pii": privacy.query,
     "op8_quality_rules": rules.query,
     "op9_chat_format": chat.query,
