@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import all_matches, col, collapse, extract, filled, filled_strip, full_lines, last_match, strip, words
+from .text import col, collapse, extract, filled, filled_strip, full_lines, last_match, let, strip, words
 from .thinking import after_think, think_block
 
 BOX = "\\boxed{"
@@ -13,24 +13,24 @@ BOX = "\\boxed{"
 
 def boxed_last(c: Column | str) -> Column:
     """Payload of the last \\boxed{...}, by brace depth; null if there is none or it never closes."""
-    c = col(c)
-    tail = F.substring_index(c, BOX, -1)
-    step = lambda a, ch: (
-        F.when(a["depth"] == 0, a)
-        .when(ch == "{", F.struct((a["depth"] + 1).alias("depth"), (a["size"] + 1).alias("size")))
-        .when(ch == "}", F.struct((a["depth"] - 1).alias("depth"), (a["size"] + F.when(a["depth"] > 1, 1).otherwise(0)).alias("size")))
-        .otherwise(F.struct(a["depth"].alias("depth"), (a["size"] + 1).alias("size")))
-    )
-    # Only braces matter, so the scan visits the pieces between them, not every character.
-    tokens = F.regexp_extract_all(tail, F.lit(r"([{}]|[^{}]+)"), F.lit(1))
-    size_of = lambda a, t: (
-        F.when(a["depth"] == 0, a)
-        .when((t == "{") | (t == "}"), step(a, t))
-        .otherwise(F.struct(a["depth"].alias("depth"), (a["size"] + F.length(t)).alias("size")))
-    )
-    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("size"))
-    end = F.aggregate(tokens, start, size_of)
-    return F.when(F.contains(c, F.lit(BOX)) & (end["depth"] == 0), strip(F.substring(tail, F.lit(1), end["size"])))
+
+    def visit(a: Column, t: Column) -> Column:
+        opens, closes = t == "{", t == "}"
+        depth = a["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0)
+        grown = F.when(closes & (a["depth"] == 1), 0).otherwise(F.length(t))
+        return F.when(a["depth"] == 0, a).otherwise(F.struct(depth.alias("depth"), (a["size"] + grown).alias("size")))
+
+    def payload(text: Column) -> Column:
+        return let(
+            F.substring_index(text, BOX, -1),
+            # only braces matter, so the scan visits the runs between them, not every character
+            lambda tail: let(
+                F.aggregate(F.regexp_extract_all(tail, F.lit(r"([{}]|[^{}]+)"), F.lit(1)), F.struct(F.lit(1).alias("depth"), F.lit(0).alias("size")), visit),
+                lambda end: F.when(F.contains(text, F.lit(BOX)) & (end["depth"] == 0), strip(F.substring(tail, F.lit(1), end["size"]))),
+            ),
+        )
+
+    return let(col(c), payload)
 
 
 def boxed_flat_first(c: Column | str) -> Column:
@@ -52,12 +52,15 @@ def clean_answer(c: Column | str) -> Column:
 
 def normalise_reference(c: Column | str) -> Column:
     """Last boxed payload, else last \\(...\\), else last $...$, else last full line; cleaned. Null or '' if blank."""
-    raw = strip(c)
-    boxed = filled(boxed_last(raw))
-    paren = filled(clean_answer(last_match(raw, r"(?s)\\\((.*?)\\\)")))
-    dollar = filled(clean_answer(last_match(raw, r"(?s)\$(.+?)\$")))
-    line = filled(clean_answer(F.element_at(F.nullif(full_lines(raw), F.array().cast("array<string>")), -1)))
-    return F.when(boxed.isNotNull(), clean_answer(boxed)).otherwise(F.coalesce(paren, dollar, line, F.when(raw != "", clean_answer(raw))))
+
+    def of(raw: Column) -> Column:
+        paren = filled(clean_answer(last_match(raw, r"(?s)\\\((.*?)\\\)")))
+        dollar = filled(clean_answer(last_match(raw, r"(?s)\$(.+?)\$")))
+        line = filled(clean_answer(F.element_at(F.nullif(full_lines(raw), F.array().cast("array<string>")), -1)))
+        rest = F.coalesce(paren, dollar, line, F.when(raw != "", clean_answer(raw)))
+        return let(filled(boxed_last(raw)), lambda boxed: F.when(boxed.isNotNull(), clean_answer(boxed)).otherwise(rest))
+
+    return let(strip(c), of)
 
 
 def pick_reference(*cs: Column) -> Column:
@@ -111,30 +114,30 @@ _FINAL = r"(?i)(?:^|\b)(?:final answer|answer|ans|答案|最終答案)\s*(?:is|:
 
 def unwrap_display(c: Column, strict: bool = False) -> Column:
     """One layer of $$, $, \\( \\) or \\[ \\] less; ``strict`` looks for the last two with doubled backslashes."""
-    c = strip(c)
     slash = "\\\\" if strict else "\\"
-    out = F.when(F.lit(False), c)
-    for left, right in (("$$", "$$"), ("$", "$"), (slash + "(", slash + ")"), (slash + "[", slash + "]")):
-        inside = F.substring(c, F.lit(len(left) + 1), F.length(c) - len(left) - len(right))
-        out = out.when(c.startswith(left) & c.endswith(right) & (F.length(c) > len(left) + len(right)), strip(inside))
-    return out.otherwise(c)
+
+    def of(s: Column) -> Column:
+        out = F.when(F.lit(False), s)
+        for left, right in (("$$", "$$"), ("$", "$"), (slash + "(", slash + ")"), (slash + "[", slash + "]")):
+            inside = F.substring(s, F.lit(len(left) + 1), F.length(s) - len(left) - len(right))
+            out = out.when(s.startswith(left) & s.endswith(right) & (F.length(s) > len(left) + len(right)), strip(inside))
+        return out.otherwise(s)
+
+    return let(strip(c), of)
 
 
 def clean_candidate(c: Column | str, strict: bool = False) -> Column:
     """A candidate answer span without wrappers and trailing noise; null if blank or a leftover think tag."""
-    s = filled(F.regexp_replace(strip(c), "^[` ]+|[` ]+$", ""))
-    s = F.when(~F.lower(s).rlike("</?think"), s)
-    s = F.coalesce(filled(boxed_last(s)), s)
-    s = F.regexp_replace(unwrap_display(s, strict), r"[ .;,]+$", "")
-    s = strip(F.regexp_replace(s, r"^\$+|\$+$", ""))
-    bold = s.startswith("**") & s.endswith("**") & (F.length(s) > 4)
-    s = F.when(bold, strip(F.substring(s, F.lit(3), F.length(s) - 4))).otherwise(s)
-    s = filled_strip(s)
-    return F.when(~F.lower(s).rlike("</?think"), s)
+    untagged = lambda s: F.when(~F.lower(s).rlike("</?think"), s)
+    unbold = lambda s: F.when(s.startswith("**") & s.endswith("**") & (F.length(s) > 4), strip(F.substring(s, F.lit(3), F.length(s) - 4))).otherwise(s)
 
+    def of(s: Column) -> Column:
+        s = F.coalesce(filled(boxed_last(s)), s)
+        s = F.regexp_replace(unwrap_display(s, strict), r"[ .;,]+$", "")
+        s = let(strip(F.regexp_replace(s, r"^\$+|\$+$", "")), unbold)
+        return let(filled_strip(s), untagged)
 
-def _first_from_end(rows: Column, of) -> Column:
-    return F.get(F.filter(F.transform(F.reverse(rows), of), lambda x: x.isNotNull()), F.lit(0))
+    return let(let(filled(F.regexp_replace(strip(c), "^[` ]+|[` ]+$", "")), untagged), of)
 
 
 def final_answer_line(c: Column | str, strict: bool = False) -> Column:
@@ -168,13 +171,22 @@ def teacher_answer(c: Column | str, strict: bool = False) -> Column:
 
 def normalise_compare(c: Column | str) -> Column:
     """The form in which answers are compared: wrappers, minus sign, comma and blank spacing, right side of the last =."""
+
+    def unwrapped(s: Column, left: str, right: str) -> Column:
+        inside = lambda x: F.substring(x, F.lit(len(left) + 1), F.length(x) - len(left) - len(right))
+        return let(s, lambda x: F.when(x.startswith(left) & x.endswith(right) & (F.length(x) > len(left) + len(right)), strip(inside(x))).otherwise(x))
+
     s = strip(c)
     for left, right in (("$$", "$$"), ("$", "$"), ("\\(", "\\)"), ("\\[", "\\]")):
-        inside = F.substring(s, F.lit(len(left) + 1), F.length(s) - len(left) - len(right))
-        s = F.when(s.startswith(left) & s.endswith(right) & (F.length(s) > len(left) + len(right)), strip(inside)).otherwise(s)
+        s = unwrapped(s, left, right)
     s = collapse(F.regexp_replace(F.replace(s, F.lit("−"), F.lit("-")), r"\s*,\s*", ","))
-    right = strip(F.substring_index(s, "=", -1))
-    return F.when(F.contains(s, F.lit("=")) & ~s.startswith("\\") & (right != ""), right).otherwise(s)
+
+    def of(x: Column) -> Column:
+        right = strip(F.substring_index(x, "=", -1))
+        return F.when(F.contains(x, F.lit("=")) & ~x.startswith("\\") & (right != ""), right).otherwise(x)
+
+    # collapse() makes '' of null; a missing answer stays missing
+    return F.when(col(c).isNotNull(), let(s, of))
 
 
 _NUMBER = r"^-?\d+(\.\d+)?$"
@@ -182,31 +194,37 @@ _NUMBER = r"^-?\d+(\.\d+)?$"
 
 def numeric_value(c: Column | str) -> Column:
     """Value of an integer, decimal, percent, a/b or \\frac{a}{b}; null for anything else."""
-    s = F.replace(strip(c), F.lit(","), F.lit(""))
     ratio = r"^(-?)(?:\\[dt]?frac\{(-?\d+)\}\{(\d+)\}|(\d+)\s*/\s*(\d+))$"
-    part = lambda k: F.regexp_extract(s, ratio, k)
-    top = F.coalesce(filled(part(2)), filled(part(4))).try_cast("double")
-    low = F.nullif(F.coalesce(filled(part(3)), filled(part(5))).try_cast("double"), F.lit(0.0))
-    sign = F.when(part(1) == "-", F.lit(-1.0)).otherwise(F.lit(1.0))
-    percent = F.regexp_extract(s, r"^(-?\d+(?:\.\d+)?)\\?%$", 1)
-    return (
-        F.when(s.rlike(_NUMBER), s.try_cast("double"))
-        .when(s.rlike(ratio), sign * top / low)
-        .when(percent != "", filled(percent).try_cast("double") / 100)
-    )
+
+    def of(s: Column) -> Column:
+        part = lambda k: F.regexp_extract(s, ratio, k)
+        top = F.coalesce(filled(part(2)), filled(part(4))).try_cast("double")
+        low = F.nullif(F.coalesce(filled(part(3)), filled(part(5))).try_cast("double"), F.lit(0.0))
+        sign = F.when(part(1) == "-", F.lit(-1.0)).otherwise(F.lit(1.0))
+        percent = F.regexp_extract(s, r"^(-?\d+(?:\.\d+)?)\\?%$", 1)
+        return (
+            F.when(s.rlike(_NUMBER), s.try_cast("double"))
+            .when(s.rlike(ratio), sign * top / low)
+            .when(percent != "", filled(percent).try_cast("double") / 100)
+        )
+
+    return let(F.replace(strip(c), F.lit(","), F.lit("")), of)
 
 
 def verify(reference: Column | str, predicted: Column | str, tolerance: float = 1e-6) -> tuple[Column, Column]:
     """(verified, method): true, false or null, by equal normal forms, then by value; null where neither decides."""
-    ref, pred = filled(col(reference)), filled(col(predicted))
-    a, b = normalise_compare(strip(pred)), normalise_compare(strip(ref))
-    x, y = numeric_value(a), numeric_value(b)
-    exact = a == b
-    both = x.isNotNull() & y.isNotNull()
-    missing = ref.isNull() | pred.isNull()
-    verified = F.when(missing, F.lit(None).cast("boolean")).when(exact, F.lit(True)).when(both, F.abs(x - y) < tolerance)
-    method = F.when(missing, "none").when(exact, "exact_match").when(both, "numeric").otherwise("none")
-    return verified, method
+
+    def of(x: Column) -> Column:
+        missing, exact = x["ref"].isNull() | x["pred"].isNull(), x["ref"] == x["pred"]
+        both = x["rv"].isNotNull() & x["pv"].isNotNull()
+        verified = F.when(missing, F.lit(None).cast("boolean")).when(exact, F.lit(True)).when(both, F.abs(x["rv"] - x["pv"]) < tolerance)
+        method = F.when(missing, "none").when(exact, "exact_match").when(both, "numeric").otherwise("none")
+        return F.struct(verified.alias("verified"), method.alias("method"))
+
+    normal = F.struct(normalise_compare(filled(col(reference))).alias("ref"), normalise_compare(filled(col(predicted))).alias("pred"))
+    valued = let(normal, lambda x: F.struct(x["ref"].alias("ref"), x["pred"].alias("pred"), numeric_value(x["ref"]).alias("rv"), numeric_value(x["pred"]).alias("pv")))
+    judged = let(valued, of)
+    return judged["verified"], judged["method"]
 
 
 def eval_verify(predicted: Column | str, expected: Column | str) -> Column:

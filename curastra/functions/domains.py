@@ -116,6 +116,8 @@ def by_keywords(c: Column | str, which: str, default: str | Column = "algebra",
 
 
 def by_map(c: Column | str, labels: dict[str, str], default: str = "algebra") -> Column:
+    if not labels:
+        return F.lit(default)
     table = F.create_map(*[F.lit(x) for kv in labels.items() for x in kv])
     return F.coalesce(table[F.lower(strip(c))], F.lit(default))
 

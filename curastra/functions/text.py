@@ -6,7 +6,7 @@ missing where ``filled`` is used.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,6 +14,14 @@ from pyspark.sql import functions as F
 STRIP = r"^\s+|\s+$"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it.
+
+    Without it an expression that repeats its argument doubles with every step of a cascade.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
