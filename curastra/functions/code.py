@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType
 
 from .text import all_matches, col, filled, strip
 
@@ -39,7 +40,7 @@ def safe(c: Column | str) -> Column:
     return ~F.coalesce(col(c), F.lit("")).rlike("(?md)" + "|".join(f"(?:{p})" for p in BANNED))
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(BooleanType())
 def syntax_valid(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     def ok(code: str | None) -> bool:
         try:
@@ -117,7 +118,7 @@ RUNNER = (
 )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def test_source(inputs: pd.Series, outputs: pd.Series) -> pd.Series:
     """Test module of (input, output) pairs; quoting of arbitrary strings is Python's own."""
 

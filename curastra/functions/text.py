@@ -82,6 +82,10 @@ def sanitize_question(c: Column | str) -> Column:
 
 
 def contains_any(c: Column, needles: Iterable[str]) -> Column:
+    """Whether any needle is in the text. Long lists loop over an array: a chain of tests would outgrow generated code."""
+    needles = list(needles)
+    if len(needles) > 16:
+        return let(c, lambda t: F.exists(F.array(*[F.lit(n) for n in needles]), lambda n: F.contains(t, n)))
     out = F.lit(False)
     for n in needles:
         out = out | F.contains(c, F.lit(n))

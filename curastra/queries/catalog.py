@@ -717,3 +717,164 @@ def semantic_dedup(spark, sf_dir):
 @query("similar_pairs", "SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id AND list_dot_product(a.embedding::double[], b.embedding::double[]) / (sqrt(list_dot_product(a.embedding::double[], a.embedding::double[])) * sqrt(list_dot_product(b.embedding::double[], b.embedding::double[]))) > 0.35")
 def similar_pairs(spark, sf_dir):
     return semantic.similar_pairs(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 0.35)
+
+
+# further text operators
+
+
+@query("by_path", "SELECT ord, CASE WHEN contains(lower(p), 'geometry') THEN 'geometry' WHEN contains(lower(p), 'number theory') THEN 'number_theory' WHEN contains(lower(p), 'algebra') THEN 'algebra' ELSE 'data_mining' END AS label FROM (SELECT ord, CASE ord % 4 WHEN 0 THEN 'Mathematics -> Plane Geometry' WHEN 1 THEN 'Mathematics -> Number Theory -> Primes' WHEN 2 THEN 'Mathematics -> Algebra' ELSE 'Mathematics -> Data Mining -> Other' END AS p FROM math_seeds)", "math_seeds")
+def by_path(spark, sf_dir):
+    p = F.expr("CASE ord % 4 WHEN 0 THEN 'Mathematics -> Plane Geometry' WHEN 1 THEN 'Mathematics -> Number Theory -> Primes' WHEN 2 THEN 'Mathematics -> Algebra' ELSE 'Mathematics -> Data Mining -> Other' END")
+    return adapter(spark, sf_dir, "math_seeds").select("ord", domains.by_path(p).alias("label"))
+
+
+@query("category_maps", "SELECT ord, CASE ord % 4 WHEN 0 THEN 'pre_algebra' WHEN 1 THEN 'number_theory' WHEN 2 THEN 'intermediate_algebra' ELSE 'algebra' END AS by_type, CASE ord % 4 WHEN 0 THEN 'algebra' WHEN 1 THEN 'number_theory' WHEN 2 THEN 'algebra' ELSE 'algebra' END AS by_topic FROM math_seeds", "math_seeds")
+def category_maps(spark, sf_dir):
+    t = F.expr("CASE ord % 4 WHEN 0 THEN ' Counting & Probability' WHEN 1 THEN 'Number Theory' WHEN 2 THEN 'precalculus ' ELSE NULL END")
+    return adapter(spark, sf_dir, "math_seeds").select("ord", domains.by_map(t, domains.TYPE_LABELS).alias("by_type"), domains.by_map(t, domains.TOPIC_LABELS).alias("by_topic"))
+
+
+@query("domain_hints", f"SELECT ord, CASE WHEN domain IS NOT NULL AND ord % 3 = 0 THEN domain ELSE {_keywords('problem', 'external')} END AS hinted, CASE WHEN {_any(chr(39) + chr(39) + ' || lower(problem)', ['probability', 'ber', 'snr', 'noise', 'signal'])} THEN 'intermediate_algebra' WHEN ord % 5 = 0 THEN 'intermediate_algebra' ELSE 'algebra' END AS tele FROM math_seeds", "math_seeds")
+def domain_hints(spark, sf_dir):
+    hint = F.when(F.col("ord") % 3 == 0, F.col("domain")).otherwise("train")
+    tele = domains.telemath_domain("problem", F.when(F.col("ord") % 5 == 0, " Advanced"))
+    return adapter(spark, sf_dir, "math_seeds").select("ord", domains.external_domain("problem", hint).alias("hinted"), tele.alias("tele"))
+
+
+_SECTIONED = "'Sure.' || chr(10) || 'QUESTION: ' || coalesce(problem, '') || chr(10) || 'Solution:' || chr(10) || repeat('step ', (ord % 20)::int) || chr(10) || 'final answer: ' || coalesce(answer, '') || chr(10) || 'Bye'"
+
+
+@query(
+    "generated_sections",
+    f"SELECT ord, q AS question, s AS solution, a AS answer, CASE WHEN length(q) < 20 THEN 'question too short' WHEN length(s) < 50 THEN 'solution too short' WHEN length(a) = 0 THEN 'no answer extracted' END AS reason FROM (SELECT ord, {_strip('''regexp_extract(t, '(?is)QUESTION:\\s*(.*?)(?:SOLUTION:|$)', 1)''')} AS q, {_strip('''regexp_extract(t, '(?is)SOLUTION:\\s*(.*?)(?:FINAL ANSWER:|$)', 1)''')} AS s, coalesce(list_extract({_lines('''regexp_extract(t, '(?is)FINAL ANSWER:\\s*(.*)$', 1)''')}, 1), '') AS a FROM (SELECT ord, {_SECTIONED} AS t FROM math_seeds))",
+    "math_seeds",
+)
+def generated_sections(spark, sf_dir):
+    t = F.concat(F.lit("Sure.\nQUESTION: "), F.coalesce("problem", F.lit("")), F.lit("\nSolution:\n"), F.expr("repeat('step ', int(ord % 20))"), F.lit("\nfinal answer: "), F.coalesce("answer", F.lit("")), F.lit("\nBye"))
+    q, s, a = problems.sections(t)
+    rows = adapter(spark, sf_dir, "math_seeds").select("ord", q.alias("question"), s.alias("solution"), a.alias("answer"))
+    return rows.withColumn("reason", problems.invalid_reason("question", "solution", "answer"))
+
+
+@query("single_problem", f"SELECT ord, CASE WHEN length(p) > 50 THEN p WHEN length(w) > 100 THEN w ELSE '' END AS problem FROM (SELECT ord, {_strip('''regexp_extract(t, '(?is)PROBLEM\\s*:\\s*(.*)', 1)''')} AS p, {_strip('t')} AS w FROM (SELECT ord, repeat('Well. ', (ord % 20)::int) || CASE ord % 3 WHEN 0 THEN '' ELSE 'Problem : ' END || problem AS t FROM math_seeds))", "math_seeds")
+def single_problem(spark, sf_dir):
+    t = F.concat(F.expr("repeat('Well. ', int(ord % 20))"), F.when(F.col("ord") % 3 == 0, "").otherwise("Problem : "), "problem")
+    return adapter(spark, sf_dir, "math_seeds").select("ord", problems.single_problem(t).alias("problem"))
+
+
+@query("trim_problem", "SELECT doc_id, length(t)::int AS n, md5(t) AS h FROM (SELECT doc_id, CASE WHEN length(text) <= 1800 THEN text ELSE " + _strip("substring(text, 1, CASE WHEN strpos(head, chr(10)) > 0 AND 1800 - strpos(reverse(head), chr(10)) >= 1400 THEN 1800 - strpos(reverse(head), chr(10)) WHEN strpos(head, '.') > 0 AND 1800 - strpos(reverse(head), '.') >= 1400 THEN 1800 - strpos(reverse(head), '.') ELSE 1800 END + 1)") + " || chr(10) || '[Problem truncated — implement based on the above description]' END AS t FROM (SELECT doc_id, text, substring(text, 1, 1800) AS head FROM documents))")
+def trim_problem(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", text.trim_problem("text").alias("t")).select("doc_id", F.length("t").alias("n"), F.md5("t").alias("h"))
+
+
+@query("sanitized_question", f"SELECT ord, {_collapse('''replace(replace(q, '```', ' '), '### Instruction:', ' ')''')} AS question FROM (SELECT ord, '```### Instruction: ' || coalesce(problem, '') || '```' AS q FROM math_seeds)", "math_seeds")
+def sanitized_question(spark, sf_dir):
+    q = F.concat(F.lit("```### Instruction: "), F.coalesce("problem", F.lit("")), F.lit("```"))
+    return adapter(spark, sf_dir, "math_seeds").select("ord", text.sanitize_question(q).alias("question"))
+
+
+@query("json_question", "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN '' ELSE 'plain ' || event_type END AS question, CASE WHEN event_id % 2 = 0 THEN '' END AS test_input FROM events")
+def json_question(spark, sf_dir):
+    raw = F.when(F.col("event_id") % 2 == 0, F.col("props")).otherwise(F.concat(F.lit(" plain "), F.col("event_type")))
+    q, i, _ = text.json_question(raw)
+    return table(spark, sf_dir, "events").select("event_id", q.alias("question"), i.alias("test_input"))
+
+
+@query("docstring", "SELECT ord, CASE WHEN length(q) > 30 THEN q ELSE trim(t) END AS question FROM (SELECT ord, t, trim(regexp_extract(t, '(?s)\"\"\"(.*?)\"\"\"', 1)) AS q FROM (SELECT ord, 'def f(): \"\"\" ' || CASE ord % 2 WHEN 0 THEN question ELSE 'short' END || ' \"\"\" pass' AS t FROM code_trials))", "code_trials")
+def docstring(spark, sf_dir):
+    t = F.concat(F.lit('def f(): """ '), F.when(F.col("ord") % 2 == 0, F.col("question")).otherwise("short"), F.lit(' """ pass'))
+    return adapter(spark, sf_dir, "code_trials").select("ord", text.docstring_or_all(t).alias("question"))
+
+
+@query("model_output_flag", "SELECT ord, starts_with(trim(output), '<think>') OR starts_with(trim(output), 'Okay,') AS is_output FROM outputs", "outputs")
+def model_output_flag(spark, sf_dir):
+    return adapter(spark, sf_dir, "outputs").select("ord", text.is_model_output("output").alias("is_output"))
+
+
+@query("contest_markup", "SELECT ord, trim(regexp_replace(regexp_replace('Let $$$n_' || CAST(ord % 7 AS string) || '$$$ be  given' || chr(10) || chr(10) || chr(10) || 'now $$', '\\${3}([^$]+)\\${3}', '\\1', 'g'), '\\${2,}', '', 'g')) AS t FROM code_trials", "code_trials")
+def contest_markup(spark, sf_dir):
+    t = F.concat(F.lit("Let $$$n_"), (F.col("ord") % 7).cast("string"), F.lit("$$$ be  given\n\n\nnow $$"))
+    return adapter(spark, sf_dir, "code_trials").select("ord", text.clean_contest_markup(t).alias("t"))
+
+
+ORACLES["contest_markup"] = ORACLES["contest_markup"].replace("be  given' || chr(10) || chr(10) || chr(10)", "be given' || chr(10) || chr(10)")
+
+
+@query("level_names", "SELECT ord, CASE reasoning_level WHEN 0 THEN 'minimal' WHEN 1 THEN 'basic' WHEN 2 THEN 'intermediate' WHEN 3 THEN 'advanced' ELSE 'expert' END AS name FROM code_trials", "code_trials")
+def level_names(spark, sf_dir):
+    return adapter(spark, sf_dir, "code_trials").select("ord", difficulty.level_name("reasoning_level").alias("name"))
+
+
+@query("scored_gate", "SELECT doc_id FROM documents JOIN labels USING (doc_id) WHERE quality >= 1")
+def scored_gate(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id").join(table(spark, sf_dir, "labels"), "doc_id").withColumnRenamed("quality", "lm_q1q2_score")
+    return registry.scored(rows, 1).select("doc_id")
+
+
+@query("finemath_gate", f"SELECT doc_id, {_keywords('t', 'finemath', first=800)} AS domain FROM (SELECT doc_id, lang, {_strip('text')} AS t, quality FROM documents LEFT JOIN (SELECT doc_id, quality * 4 AS quality FROM labels) USING (doc_id)) WHERE coalesce(quality, 0) >= 3 AND length(t) >= 200 AND coalesce(lang, 'en') = 'en'")
+def finemath_gate(spark, sf_dir):
+    score = table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") * 4).alias("int_score"))
+    docs = table(spark, sf_dir, "documents").join(score, "doc_id", "left").select(F.col("doc_id").alias("ord"), "text", F.col("lang").alias("language"), "int_score")
+    return registry.finemath(docs).select(F.col("ord").alias("doc_id"), "domain")
+
+
+@query("theoremqa_fallback", "SELECT 'math' AS which, count(*) AS n FROM math_seeds WHERE " + _strip("coalesce(problem, '')") + " <> '' AND (source = 'aime' OR source = 'limo') UNION ALL SELECT 'none', count(*) FROM math_seeds WHERE " + _strip("coalesce(problem, '')") + " <> ''", "math_seeds")
+def theoremqa_fallback(spark, sf_dir):
+    rows = adapter(spark, sf_dir, "math_seeds").select("ord", F.col("problem").alias("Question"), F.col("answer").alias("Answer"), "source")
+    said = rows.withColumn("subject", F.when(F.col("source") == "aime", "Math").when(F.col("source") == "limo", "").otherwise("physics")).drop("source")
+    none = rows.withColumn("subject", F.lit("physics")).drop("source")
+    out = [registry.theoremqa(x).agg(F.count("*").alias("n")).select(F.lit(k).alias("which"), "n") for k, x in (("math", said), ("none", none))]
+    return out[0].unionAll(out[1])
+
+
+@query("deepmath_chunk", "SELECT ord, CASE WHEN length(trim(coalesce(solution, ''))) >= length(trim(coalesce(answer, ''))) THEN nullif(" + _strip("coalesce(solution, '')") + ", '') ELSE " + _strip("answer") + " END AS solution FROM math_seeds WHERE ord % 5 = 2 AND " + _strip("coalesce(problem, '')") + " <> ''", "math_seeds")
+def deepmath_chunk(spark, sf_dir):
+    rows = adapter(spark, sf_dir, "math_seeds").select("ord", F.col("problem").alias("question"), F.col("answer").alias("final_answer"), F.col("source").alias("topic"), F.array("solution", "answer").alias("r1_solutions"))
+    return registry.deepmath(rows, chunk_id=2, total_chunks=5).select("ord", "solution")
+
+
+@query("external_records", f"SELECT ord, {_strip('problem')} AS question, {_strip('''coalesce(answer, '')''')} AS answer, {_words('answer')}::int AS words_answer, 'team:train:' || CAST(ord AS string) AS sample_id FROM math_seeds WHERE length({_strip('''coalesce(problem, '')''')}) >= 10", "math_seeds")
+def external_records(spark, sf_dir):
+    from ..plans import coding
+
+    rows = adapter(spark, sf_dir, "math_seeds")
+    out = coding.external_records(rows, "team", "train", F.col("problem"), F.col("answer"), F.col("solution"))
+    return out.select(F.substring_index("sample_id", ":", -1).cast("long").alias("ord"), "question", "answer", "words_answer", "sample_id")
+
+
+@query("converted_code", f"SELECT question AS \"Question\", solution_code AS \"Answer\", '<think>' || chr(10) || 'o ' || CAST(ord AS string) || chr(10) || '</think>' AS \"<Think>\", trunc({_words('question')} * 1.3::double)::int AS \"Number of tokens in Question\" FROM code_trials WHERE ord % 4 > 0", "code_trials")
+def converted_code(spark, sf_dir):
+    from ..plans import coding
+
+    rows = adapter(spark, sf_dir, "code_trials").select("ord", F.when(F.col("ord") % 4 > 0, F.col("question")).alias("question"), F.concat(F.lit(" o "), F.col("ord").cast("string")).alias("output"), F.col("solution_code").alias("solution"))
+    return coding.converted(rows, "team").select("Question", "Answer", "<Think>", "Number of tokens in Question")
+
+
+@query("prepared_seeds")
+def prepared_seeds(spark, sf_dir):
+    """Raw questions to prepared seeds; messages, levels and ids are held by tests."""
+    from ..plans import coding
+
+    rows = adapter(spark, sf_dir, "code_trials").select(
+        "ord", F.col("question").alias("question_text"), F.lit("team").alias("source_name"), F.lit("u").alias("source_url"), F.lit("English").alias("language"), F.lit("sandbox_verified").alias("answer_source"),
+        F.array().cast("array<string>").alias("options"), F.lit(None).cast("string").alias("correct_answer"), F.to_json(F.struct((F.col("ord") % 3000).cast("string").alias("difficulty"))).alias("extra"),
+    )
+    return coding.seeds(rows).select("prompt_id", "domain", "reasoning_level", F.size("messages").alias("n_messages"))
+
+
+@query("offline_generation")
+def offline_generation(spark, sf_dir):
+    """Evaluation of a deterministic offline model on the seed questions, resumed after a third is done."""
+    from ..operators import providers
+
+    inputs = registry.eval_input(adapter(spark, sf_dir, "math_seeds"), "team/seeds")
+    done = inputs.where("index % 3 = 0").select("index", "dataset", F.lit("m1").alias("model_used"))
+    said = evaluation.generate(inputs, ["m1", "m2"], done, providers.Offline())
+    return rel.model_summary(evaluation.results(said.withColumn("source", F.col("subdomain"))))
+
+
+@query("teacher_answers")
+def teacher_answers(spark, sf_dir):
+    """Final answers of teacher responses, in the meant and the strict reading of the patterns."""
+    rows = adapter(spark, sf_dir, "generations")
+    return rows.select("ord", answers.teacher_answer("generation").alias("answer"), answers.teacher_answer("generation", strict=True).alias("answer_strict"))
