@@ -22,7 +22,7 @@ BLOCK = 32
 PERIOD = 4096
 #: Default weights are the sources' row counts to this power.
 TEMPER = 0.7
-ROWS_PER_PART = 20_000
+ROWS_PER_PART = 2_000
 _MD5_CELLS = 1 << 16
 
 
