@@ -257,10 +257,19 @@ def _link_blocks(words: int, k: int, num: int, den: int):
     return run
 
 
+def _chunked(members: DataFrame, most: int, name: str) -> DataFrame:
+    """The rows with ``c``, the number of chunks of ``most`` members in their group, and a chunk drawn by the id.
+
+    Only groups of several chunks are joined, by broadcast unless they are too many: no task gets a hot group whole.
+    """
+    large = members.groupBy("p").agg(ceil_div(F.count("*"), most).alias("c")).where("c > 1")
+    dealt = keys_join(members, large, "p", "left").withColumn("c", F.coalesce("c", F.lit(1).cast("long")))
+    return dealt.withColumn(name, F.pmod(F.xxhash64("id"), F.col("c")))
+
+
 def _blocked(members: DataFrame) -> DataFrame:
     """Rows (p, id, ...) dealt into square blocks (p, bi, bj) of at most about SIDE members a side."""
-    size = members.groupBy("p").agg(ceil_div(F.count("*"), SIDE).alias("c"))
-    dealt = members.join(size, "p").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("c")))
+    dealt = _chunked(members, SIDE, "chunk")
     dealt = dealt.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("c") - 1)))
     return dealt.withColumn("bi", F.least("chunk", "k")).withColumn("bj", F.greatest("chunk", "k")).drop("c", "k")
 
@@ -301,11 +310,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     agree = F.lit(k) - sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"p{c}"))) for c in _SKETCH), F.lit(0))
     star = groups.join(thin, "id").join(other, "p").where((agree >= need) & (den * F.least("n", "pn") >= num * F.greatest("n", "pn"))).select("p", "id")
     star = scratch.cut(star)
-    size = star.groupBy("p").agg(ceil_div(F.count("*"), CHUNK).alias("c"))
-    dealt = star.join(size, "p")
-    asked = dealt.select("p", F.pmod(F.xxhash64("id"), F.col("c")).alias("salt"), F.lit(1).alias("member"), "id").unionAll(
-        size.select("p", F.explode(F.sequence(F.lit(0).cast("long"), F.col("c") - 1)).alias("salt"), F.lit(0), F.col("p").alias("id"))
-    )
+    dealt = _chunked(star, CHUNK, "salt")
+    asked = dealt.select("p", "salt", F.lit(1).alias("member"), "id").unionAll(dealt.select("p", "salt").distinct().select("p", "salt", F.lit(0), F.col("p").alias("id")))
     texts = keys_join(docs.withColumnRenamed("doc_id", "id"), asked.select("id").distinct(), "id", "left_semi")
     rowed = asked.join(texts, "id").repartition("p", "salt").sortWithinPartitions("p", "salt", "member").select("p", "salt", "member", "id", "text")
     links = scratch.cut(rowed.mapInArrow(_verify_stars(words, num, den), "a long, b long"))
