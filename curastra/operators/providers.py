@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 class Provider:
@@ -117,8 +118,7 @@ def complete(df: DataFrame, provider: Provider, prompt: str, to: str, model: str
                 said = list(pool.map(lambda x: provider.reply(x[0] or "", x[1] or ""), asked))
                 yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(said, pa.string())], names=[*names, to])
 
-    schema = df.schema.add(to, "string")
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, StructType([*df.schema.fields, StructField(to, StringType())]))
 
 
 def trials(df: DataFrame, k: int) -> DataFrame:

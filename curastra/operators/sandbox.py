@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions import code
 
@@ -75,7 +75,7 @@ def observed_outputs(df: DataFrame, solution: str = "solution_code", inputs: str
                 out.append(said if sum(s is not None for s in said) >= least else None)
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(out, pa.list_(pa.string()))], names=[*names, "outputs"])
 
-    return rows.mapInArrow(run, df.schema.add("outputs", ArrayType(StringType())))
+    return rows.mapInArrow(run, StructType([*df.schema.fields, StructField("outputs", ArrayType(StringType()))]))
 
 
 def run_tests(df: DataFrame, solution: str = "solution_code", tests: str = "test_code", seconds: float = 30.0, enabled: bool = False) -> DataFrame:
@@ -92,4 +92,4 @@ def run_tests(df: DataFrame, solution: str = "solution_code", tests: str = "test
                 logs.append(log)
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(results, pa.string()), pa.array(logs, pa.string())], names=[*names, "result", "log"])
 
-    return rows.mapInArrow(run, df.schema.add("result", StringType()).add("log", StringType()))
+    return rows.mapInArrow(run, StructType([*df.schema.fields, StructField("result", StringType()), StructField("log", StringType())]))
