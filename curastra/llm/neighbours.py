@@ -218,7 +218,7 @@ def search(embeddings: DataFrame, queries: str = f"vec_id % {QUERY_STEP} = 0", k
     shard = F.pmod(F.xxhash64("vec_id", F.lit(5)), F.lit(n)).cast("long")
     base = reps.select(shard.alias("shard"), F.lit(0).alias("asks"), F.col("vec_id").alias("id"), "v")
     asked = rows.where(queries).select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("shard"), F.lit(1).alias("asks"), F.col("vec_id").alias("id"), "v")
-    dealt = base.unionAll(asked).repartition(n, "shard").sortWithinPartitions("shard", "asks", "id")
+    dealt = base.unionAll(asked).repartitionById(n, F.col("shard").cast("int")).sortWithinPartitions("shard", "asks", "id")
     found = scratch.cut(dealt.mapInArrow(_shards(k + 1, beam), "query_id long, rep long, score double"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "rep")
     found = found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1)
