@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..shipping import importable
+
 
 class Provider:
     """Answers a prompt, or None if it can't."""
@@ -108,6 +110,7 @@ class Http(Provider):
 
 def complete(df: DataFrame, provider: Provider, prompt: str, to: str, model: str | None = None) -> DataFrame:
     """The rows with a column of replies; null where there is none. ``model`` names a column."""
+    importable(df.sparkSession)
     names = df.columns
     rows = df.withColumn("_prompt", F.col(prompt)).withColumn("_model", F.col(model) if model else F.lit(""))
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions import code
+from ..shipping import importable
 
 MEMORY_MB = 512
 _ASK = "import sys\nfrom io import StringIO\nfrom solution import solve\nsys.stdin = StringIO(sys.stdin.read())\nsolve()\n"
@@ -61,6 +62,7 @@ def observed_outputs(df: DataFrame, solution: str = "solution_code", inputs: str
 
     Expected values come from the run. Nothing runs unless ``enabled``, nor any code that the scan bans.
     """
+    importable(df.sparkSession)
     rows = df.withColumn("_go", F.lit(enabled) & code.safe(solution))
     names = df.columns
 
@@ -80,6 +82,7 @@ def observed_outputs(df: DataFrame, solution: str = "solution_code", inputs: str
 
 def run_tests(df: DataFrame, solution: str = "solution_code", tests: str = "test_code", seconds: float = 30.0, enabled: bool = False) -> DataFrame:
     """The rows with ``result`` (Pass, Fail, or Blocked where nothing ran) and ``log``."""
+    importable(df.sparkSession)
     rows = df.withColumn("_go", F.lit(enabled) & code.safe(solution))
     names = df.columns
 

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import importable
 from .scratch import cut
 
 FLOOR = 1e-9
@@ -21,6 +22,7 @@ FLOOR = 1e-9
 
 def similar_pairs(df: DataFrame, order: str, vector: str, threshold: float = 0.92, block: int = 1024) -> DataFrame:
     """(a, b), a < b in order, with cosine above the threshold; vectors of null or other length take no part."""
+    importable(df.sparkSession)
     n = max(1, df.count())
     blocks = -(-n // block)
     rows = df.select(F.col(order).cast("long").alias("id"), F.transform(F.col(vector), lambda x: x.cast("double")).alias("v")).where("v IS NOT NULL AND id IS NOT NULL")

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..shipping import importable
+
 BS, NL, LB, RB = "chr(92)", "chr(10)", "chr(123)", "chr(125)"
 _BOX = f"{BS} || 'boxed' || {LB}"
 
@@ -94,6 +96,7 @@ TABLES = ("orders", "lineitem", "part")
 
 def adapter(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The adapter's rows in Spark."""
+    importable(spark)
     text = SQL[name]
     used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if f"__{t}__" in text}
     for t in used:
