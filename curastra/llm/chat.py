@@ -17,6 +17,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import importable
 from .common import table
 
 OPEN, BREAK, CLOSE = b"<s>", b"\n", b"</s>"
@@ -142,6 +143,7 @@ def format_chat(turns: DataFrame) -> DataFrame:
     an empty one, and rows without conv_id form one conversation without id. Other columns are not read; an empty table
     gives an empty result. A conversation is one value of the result, so its turns meet in one task.
     """
+    importable(turns.sparkSession)
     picked = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
     ordered = picked.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
     return ordered.select("conv_id", "role", "text").mapInArrow(_assembled, _OUT)
@@ -186,3 +188,20 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
     return digests(format_chat(turns.unionByName(own)))
+
+
+def _extra(column: str) -> str:
+    """Backslashes that escaping adds to a column, in SQL: one for each backslash and each control string."""
+    marks = [c.decode() for c in CONTROL]
+    return f"length({column}) - length(replace({column}, chr(92), ''))" + "".join(f" + (length({column}) - length(replace({column}, '{m}', ''))) // {len(m)}" for m in marks)
+
+
+ORACLE = f"""
+WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+chats AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+  coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+  sum(length(role) + length(text) + {len(OPEN) + len(BREAK) + len(CLOSE)} + length(role) - length(replace(role, chr(10), '')) + {_extra("role")} + {_extra("text")})::bigint AS formatted_chars
+  FROM turns GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss)::bigint AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM chats
+"""

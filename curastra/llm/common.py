@@ -12,11 +12,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import importable
+
 #: Most rows of a two-column key table that is broadcast; larger ones are joined by shuffle.
 BROADCAST_ROWS = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -44,6 +47,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession):
+        importable(spark)
         self.spark, self.root = spark, f"{shared_dir(spark)}/curastra-{uuid.uuid4().hex}"
         self.count = 0
         atexit.register(_remove, spark, self.root)
@@ -69,6 +73,7 @@ def keys_join(df: DataFrame, keys: DataFrame, on: str, how: str, n_keys: int | N
 
 def string_columns(df: DataFrame, **wanted: str) -> DataFrame:
     """Only the named columns under our own names, so that extra columns of the input never clash."""
+    importable(df.sparkSession)
     return df.select(*[F.col(f"`{old}`").alias(new) for new, old in wanted.items()])
 
 

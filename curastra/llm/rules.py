@@ -172,3 +172,25 @@ def clean(docs: DataFrame, text_col: str = "text", host_col: str = "source") ->
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents")).drop("n_lost_words")
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORDS = "'[^\\x20\\x09-\\x0D]+'"
+ORACLE = f"""
+WITH docs AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), {_WORDS}) AS ws FROM documents),
+lines AS (SELECT doc_id, host, unnest(string_split(text, chr(10))) AS line FROM docs),
+full_lines AS (SELECT doc_id, host, line, regexp_extract_all(translate(line, '{_UPPER}', '{_LOWER}'), {_WORDS}) AS lw FROM lines WHERE regexp_matches(line, {_WORDS})),
+dups AS (SELECT doc_id, sum(n - 1)::bigint AS n FROM (SELECT doc_id, line, count(*) AS n FROM full_lines GROUP BY ALL) GROUP BY doc_id),
+windows AS (SELECT doc_id, unnest(range(1, len(ws) - 3)) AS i, unnest(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) AS w FROM docs WHERE len(ws) >= 5),
+again AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, w) > 1),
+covered AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS j FROM again) GROUP BY doc_id),
+normal AS (SELECT doc_id, host, array_to_string(lw, ' ') AS line, sum(len(lw)) AS w FROM full_lines GROUP BY ALL),
+hosts AS (SELECT host, count(*) AS docs FROM docs GROUP BY host),
+common AS (SELECT host, line, min(doc_id) AS owner FROM normal JOIN hosts USING (host) GROUP BY host, line, docs HAVING count(DISTINCT doc_id) > {MIN_DOCS} AND count(DISTINCT doc_id) > {HOST_SHARE} * docs),
+lost AS (SELECT doc_id, sum(w)::bigint AS n FROM normal JOIN common USING (host, line) WHERE doc_id <> owner GROUP BY doc_id),
+counts AS (SELECT doc_id, len(ws)::bigint AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::bigint AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint AS n_symbols,
+  coalesce(dups.n, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words, coalesce(lost.n, 0) AS gone
+  FROM docs LEFT JOIN dups USING (doc_id) LEFT JOIN covered USING (doc_id) LEFT JOIN lost USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > 20 * n_words) AND n_words - gone >= {MIN_WORDS} AND n_words - gone >= {MIN_LEFT} * n_words AS kept FROM counts
+"""
