@@ -21,6 +21,16 @@ def _small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def where_computed(df: DataFrame, condition: Column) -> DataFrame:
+    """Rows that satisfy a condition on costly computed columns.
+
+    A plain filter would be pushed through the projection that computes them, with a copy of every expression, and each
+    copy runs again. A row id that is made beside them, and that the filter reads, keeps it where it stands.
+    """
+    marked = df.withColumn("_row", F.monotonically_increasing_id())
+    return marked.where(condition & (F.col("_row") >= 0)).drop("_row")
+
+
 # dedup
 
 
@@ -175,7 +185,7 @@ def tri_state(df: DataFrame, flag: str) -> DataFrame:
 
 def reject_wrong(df: DataFrame, flag: str = "verified") -> DataFrame:
     """True and null stay; only false goes."""
-    return df.where(~F.col(flag).eqNullSafe(F.lit(False)))
+    return where_computed(df, ~F.col(flag).eqNullSafe(F.lit(False)))
 
 
 def filled_histogram(df: DataFrame, level: str, levels: range) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import answers, difficulty, problems, thinking
 from ..functions.text import first_filled, sanitize_question, word_count
 from ..operators import providers
-from ..operators.relational import drop_unchanged, reject_wrong, union_all
+from ..operators.relational import drop_unchanged, reject_wrong, union_all, where_computed
 
 # Fixed values of the final record.
 SYSTEM_PROMPT = "You are a helpful assistant that solves mathematics problems step by step."
@@ -103,7 +103,7 @@ def published(record: DataFrame) -> DataFrame:
 
 
 def quality_filter(record: DataFrame) -> DataFrame:
-    return record.where(problems.drop_reason("question", "answer").isNull())
+    return where_computed(record, problems.drop_reason("question", "answer").isNull())
 
 
 STEPS = ("evolve", "convert", "trace", "verify", "tag", "final")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import spread
 from ..shipping import importable
 
 BS, NL, LB, RB = "chr(92)", "chr(10)", "chr(123)", "chr(125)"
@@ -98,7 +99,7 @@ def adapter(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The adapter's rows in Spark."""
     importable(spark)
     text = SQL[name]
-    used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if f"__{t}__" in text}
+    used = {t: spread(spark.read.parquet(f"{sf_dir}/{t}.parquet")) for t in TABLES if f"__{t}__" in text}
     for t in used:
         text = text.replace(f"__{t}__", "{" + t + "}")
     return spark.sql(text, **used)

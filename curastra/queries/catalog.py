@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import answers, code, difficulty, domains, problems, text, thinking
 from ..operators import packing, relational as rel, semantic
 from ..plans import evaluation, mathematics
+from ..session import spread
 from ..sources import registry
 from .adapters import adapter, oracle
 
@@ -29,7 +30,7 @@ def query(name: str, sql: str | None = None, *adapters: str):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 # SQL fragments: words, stripped text, and answers, as DuckDB says them

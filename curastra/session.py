@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Adaptive execution coalesces small partitions and splits skewed joins; sizes suit executors of a few GB.
 SETTINGS = {
@@ -26,3 +26,12 @@ def session(master: str | None = None, name: str = "curastra", shuffle_partition
     for k, v in {**SETTINGS, **more}.items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows over at least as many partitions as there are cores, where a scan gives fewer (a small table in one file).
+
+    Large tables come in many splits and are left as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
