@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StringType
+from pyspark.sql.types import ArrayType, BooleanType, StringType
 
 from .text import all_matches, col, filled, strip
 
@@ -129,6 +129,22 @@ def test_source(inputs: pd.Series, outputs: pd.Series) -> pd.Series:
     return pd.Series([made(i, o) for i, o in zip(inputs, outputs)], dtype="object")
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def test_inputs(tests: pd.Series) -> pd.Series:
+    """The constant texts that a test module hands to run(), in order, each once; none if it doesn't parse."""
+
+    def found(source):
+        try:
+            tree = ast.parse(source or "")
+        except (SyntaxError, ValueError, RecursionError, MemoryError):
+            return []
+        calls = [n for n in ast.walk(tree) if isinstance(n, ast.Call) and isinstance(n.func, ast.Name) and n.func.id == "run" and n.args]
+        calls.sort(key=lambda n: (n.lineno, n.col_offset))
+        return list(dict.fromkeys(n.args[0].value for n in calls if isinstance(n.args[0], ast.Constant) and isinstance(n.args[0].value, str)))
+
+    return tests.map(found)
+
+
 def first_user(messages: Column | str) -> Column:
     """Content of the first user message, else of the second message."""
     m = col(messages)

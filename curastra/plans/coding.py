@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import code, difficulty, domains, problems, text, thinking
+from ..functions import code, difficulty, domains, problems, prompts, text, thinking
 from ..functions.text import clean_contest_markup, filled, first_filled, strip, token_estimate, truncated, word_count
-from ..operators import packing, providers
+from ..operators import packing, providers, sandbox
 from ..operators.relational import dedup_fingerprint, running_index
+from ..operators.scratch import cut
 
 # The mutation menu, its default level and label, and the domains that are injected.
 MUTATION_LEVEL = {
@@ -68,8 +69,7 @@ def variants(seed: DataFrame, n: int, provider: providers.Provider, order: str =
     """
     rows = seed.withColumn("variant", F.explode(F.sequence(F.lit(1), F.lit(n))))
     rows = rows.withColumn("mutation", providers.seeded_pick(list(MUTATION_LEVEL), "prompt_id", "variant")).withColumn("injected_domain", providers.seeded_pick(INJECTED, "variant", "prompt_id"))
-    ask = F.concat(F.lit("Mutation: "), "mutation", F.lit("\nScenario: "), "injected_domain", F.lit("\nPROBLEM: "), code.first_user("messages"))
-    rows = providers.complete(rows.withColumn("ask", ask), provider, "ask", "said")
+    rows = providers.complete(rows.withColumn("ask", prompts.variant(code.first_user("messages"), "mutation", "injected_domain")), provider, "ask", "said")
     rows = rows.withColumn("problem", problems.single_problem(F.coalesce("said", F.lit(""))))
     long_ = F.length("problem") >= least
     rank = F.struct(order, "variant")
@@ -79,6 +79,26 @@ def variants(seed: DataFrame, n: int, provider: providers.Provider, order: str =
     return rows.withColumn("reject_reason", reason).drop("_fp", "_first", "ask", "said")
 
 
+def verified_variants(rows: DataFrame, provider: providers.Provider, enabled: bool = False, least: int = 3) -> DataFrame:
+    """Variants with solution, corrected tests, level and the first reason to reject each.
+
+    The solution runs on the inputs of its own tests, and what it prints becomes the expected output; at least ``least`` inputs
+    must run. Only variants without an earlier reason are asked about and run.
+    """
+    open_ = cut(providers.complete(rows.where("reject_reason IS NULL").withColumn("_ask", prompts.solution_and_tests(text.trim_problem("problem"))), provider, "_ask", "_said").drop("_ask"))
+    solution, tests = code.strict_code_blocks(F.coalesce("_said", F.lit("")))
+    open_ = open_.withColumn("solution_code", solution).withColumn("inputs", code.test_inputs(tests)).drop("_said")
+    ran = cut(sandbox.observed_outputs(open_, least=least, enabled=enabled))
+    reason = F.when(F.col("solution_code") == "", "no code").when(~code.safe("solution_code"), "unsafe").when(F.col("outputs").isNull(), "not verified")
+    ran = ran.withColumn("reject_reason", reason)
+    good = providers.complete(ran.where("reject_reason IS NULL").withColumn("_ask", prompts.rate_code("problem", "solution_code")), provider, "_ask", "_rated")
+    good = good.withColumn("rated_level", difficulty.stripped_level(F.coalesce("_rated", F.lit("")))).drop("_ask", "_rated")
+    pairs = F.filter(F.arrays_zip("inputs", "outputs"), lambda p: p["outputs"].isNotNull())
+    good = good.withColumn("test_code", code.test_source(F.transform(pairs, lambda p: p["inputs"]), F.transform(pairs, lambda p: p["outputs"])))
+    bad = ran.where("reject_reason IS NOT NULL").unionByName(rows.where("reject_reason IS NOT NULL"), allowMissingColumns=True)
+    return good.unionByName(bad, allowMissingColumns=True).drop("inputs", "outputs")
+
+
 def variant_entries(accepted: DataFrame, order: str = "ord") -> DataFrame:
     """Entries of accepted variants: the rated level if it is 1 to 4, else the mutation's; the text cut to 2000."""
     level = F.coalesce(F.create_map(*[F.lit(x) for kv in MUTATION_LEVEL.items() for x in kv])[F.col("mutation")], F.lit(2))

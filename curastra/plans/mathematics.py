@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import answers, difficulty, problems, thinking
+from ..functions import answers, difficulty, problems, prompts, thinking
 from ..functions.text import first_filled, sanitize_question, word_count
 from ..operators import providers
 from ..operators.relational import drop_unchanged, reject_wrong, union_all, where_computed
+from ..operators.scratch import cut
 
 # Fixed values of the final record.
 SYSTEM_PROMPT = "You are a helpful assistant that solves mathematics problems step by step."
@@ -38,6 +39,26 @@ def evolve(seeds: DataFrame, depth: int = 1, strategies: tuple[str, ...] = probl
     return rows.select(F.col("id").alias("parent_id"), evolved_id.alias("evolved_id"), "source", "domain", "mutation_strategy", "mutation_depth", "problem", "original_problem", none.alias("solution"), none.alias("answer"), "ord")
 
 
+def evolve_with(seeds: DataFrame, provider: providers.Provider, depth: int = 1, strategies: tuple[str, ...] = problems.STRATEGIES) -> DataFrame:
+    """Mutations by a model: replies are cleaned, and empty or unchanged ones dropped.
+
+    Each depth is checkpointed, so that no reply is asked for twice; the next one starts from the seed's last success.
+    """
+    current = seeds.select("id", "source", "domain", "ord", F.col("problem").alias("_now"), F.col("problem").alias("original_problem"))
+    out = []
+    for d in range(1, depth + 1):
+        tried = current.select("*", F.posexplode(F.array(*[F.lit(s) for s in strategies])).alias("_k", "mutation_strategy"))
+        said = providers.complete(tried.withColumn("_ask", prompts.mutation("_now", "mutation_strategy", "domain")), provider, "_ask", "_said")
+        good = cut(drop_unchanged(said.withColumn("problem", problems.clean_mutation("_said")), "problem", "_now").drop("_ask", "_said").withColumn("mutation_depth", F.lit(d)))
+        out.append(good)
+        if d < depth:
+            last = good.groupBy("id").agg(F.max_by("problem", "_k").alias("_last"))
+            current = current.join(last, "id", "left").withColumn("_now", F.coalesce("_last", "_now")).drop("_last")
+    evolved_id = F.concat("id", F.lit("::evol::"), "mutation_strategy", F.lit("::d"), F.col("mutation_depth").cast("string"))
+    none = F.lit(None).cast("string")
+    return union_all(*out).select(F.col("id").alias("parent_id"), evolved_id.alias("evolved_id"), "source", "domain", "mutation_strategy", "mutation_depth", "problem", "original_problem", none.alias("solution"), none.alias("answer"), "ord")
+
+
 def convert(samples: DataFrame) -> DataFrame:
     """Open-ended problems with their kind; a missing problem becomes an open row with ''."""
     kind = problems.problem_type("problem")
@@ -53,7 +74,7 @@ def trace(converted: DataFrame, provider: providers.Provider | None = None) -> D
     """Think trace, extracted answer and reference; without a reply the existing solution stands in."""
     rows = converted
     if provider is not None:
-        rows = providers.complete(rows, provider, "problem", "full_response")
+        rows = providers.complete(rows.withColumn("_ask", prompts.teacher("problem")), provider, "_ask", "full_response").drop("_ask")
     else:
         rows = rows.withColumn("full_response", F.lit(None).cast("string"))
     fallback = F.coalesce(F.col("full_response"), F.lit("")) == ""

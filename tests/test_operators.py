@@ -227,3 +227,34 @@ def test_windows_on_streams(spark, tmp_path):
 def test_answers_pick_first_usable(spark):
     df = spark.createDataFrame([([" ", None, "Answer: 5."],), ([],)], "v array<string>")
     assert [r[0] for r in df.select(answers.pick_reference_of("v")).collect()] == ["5", None]
+
+
+class Coder(providers.Provider):
+    """Replies to every prompt of the variant plan."""
+
+    def reply(self, prompt, model):
+        if "seed" in prompt and "PROBLEM:" in prompt:
+            return "PROBLEM: " + prompt[-90:] + " Given n, print twice n. " + "Mind the limits. " * 6
+        if "<|Solution Begin|>" in prompt:
+            return "<|Solution Begin|>def solve():\n    print(int(input()) * 2)<|Solution End|><|Test Begin|>" + "\n".join(f'def test_{i}(): assert run("{i}") == "0"' for i in range(1, 6)) + "<|Test End|>"
+        return "Level 3" if "Rate" in prompt else "<think>so</think> A harder problem: " + prompt[-30:]
+
+
+def test_variants_are_run_and_rated(spark):
+    q = "You are given n integers; print the sum of all of them. " * 3
+    raw = spark.createDataFrame([(0, q, "s", "u", "English", "x", [], None, "{}")], "ord long, question_text string, source_name string, source_url string, language string, answer_source string, options array<string>, correct_answer string, extra string")
+    rows = coding.variants(coding.seeds(raw), 3, Coder())
+    out = coding.verified_variants(rows, Coder(), enabled=True).collect()
+    good = [r for r in out if r.reject_reason is None]
+    assert len(out) == 3 and good and all(r.rated_level == 3 and "run('5') == '10'" in r.test_code for r in good)
+    off = coding.verified_variants(rows, Coder()).collect()
+    assert {r.reject_reason for r in off} <= {"not verified", "duplicate"} and coding.variant_entries(spark.createDataFrame(good, coding.verified_variants(rows, Coder()).schema)).first().reasoning_level == 3
+
+
+def test_evolution_by_a_model(spark):
+    df = spark.createDataFrame([(0, "a", "s", "algebra", "Find x with x + 1 = 2"), (1, "b", "s", None, "")], "ord long, id string, source string, domain string, problem string")
+    out = mathematics.evolve_with(df, Coder(), depth=2)
+    assert {r.mutation_depth for r in out.collect()} == {1, 2} and out.where("parent_id = 'a'").count() == 10
+    assert mathematics.evolve_with(df, providers.Offline(missing=1000)).count() == 0
+    traced = mathematics.trace(mathematics.convert(df.withColumn("solution", F.lit(None).cast("string")).withColumn("answer", F.lit("3"))), Coder())
+    assert traced.where("NOT teacher_fallback AND think_trace = 'so'").count() == 2
