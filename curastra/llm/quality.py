@@ -45,23 +45,25 @@ STATISTICS = (
 
 def statistics_block(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     """A row of STATISTICS for each text; an empty text is all zeros."""
-    counts, _, _, _ = measure_block(data, at)
     w = split_words(data, at)
+    h = w.hashes()
+    counts, _, _, _ = measure_block(data, at, w, h, normal=False)
     n_words = counts["n_words"].astype(float)
     words, chars = np.maximum(n_words, 1), np.maximum(counts["word_chars"].astype(float), 1)
     text_of = np.repeat(np.arange(len(at) - 1), np.diff(w.first))
     length = w.end - w.start
-    _, before = _twice(mix(w.hashes() + text_of.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)))
+    _, before = _twice(mix(h + text_of.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)))
     share = lambda table, by: _counted(table[data], at) / by
     of_words = lambda flags: _counted(flags, w.first) / words
     ends = data[w.end - 1] if len(w.end) else np.zeros(0, np.uint8)
     starts = data[w.start] if len(w.start) else np.zeros(0, np.uint8)
-    symbol_at = np.concatenate([[0], np.cumsum(_SYMBOL[data], dtype=np.int64)])
+    symbols = np.flatnonzero(_SYMBOL[data])
+    marked = np.searchsorted(symbols, w.end) > np.searchsorted(symbols, w.start) if len(symbols) else np.zeros(len(w.end), dtype=bool)
     lines = _counted(data == 0x0A, at) + 1.0
     x = np.stack([
         np.log1p(n_words), counts["word_chars"] / words, share(_UPPER, chars), share(_DIGIT, chars), share(_STOP, words), share(_SHOUT, words), share(_ODD, words), share(_SYMBOL, words),
         share(_HIGH, chars), np.log1p(n_words / lines), counts["n_dup_lines"] / lines, counts["n_repeat_words"] / words, of_words(~before), of_words(length > 14), of_words(length <= 2),
-        of_words(_LOWER[ends] | (ends >= 0x80)), np.log1p(chars), of_words(_UPPER[starts]), of_words(symbol_at[w.end] > symbol_at[w.start]),
+        of_words(_LOWER[ends] | (ends >= 0x80)), np.log1p(chars), of_words(_UPPER[starts]), of_words(marked),
     ], axis=1)
     return np.where((n_words > 0)[:, None], x, 0.0)
 

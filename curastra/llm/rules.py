@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, Scratch, table
-from .textkernel import LOWER, blocks, mix, sequence_hashes, span_hashes, split_words
+from .textkernel import LOWER, Words, blocks, mix, sequence_hashes, span_hashes, split_words
 
 WINDOW = 5
 MIN_DOCS = 20
@@ -31,12 +31,12 @@ _NEWLINE[0x0A] = True
 
 def _counted(flags: np.ndarray, at: np.ndarray) -> np.ndarray:
     """How many flags are set between consecutive offsets."""
-    return np.diff(np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])[at])
+    return np.diff(np.searchsorted(np.flatnonzero(flags), at))
 
 
 def _twice(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each key: whether it occurs again anywhere, and whether it occurred before."""
-    order = np.argsort(keys, kind="stable")
+    """For each key: whether it occurs more than once, and whether it is counted as a repeat (all but one are)."""
+    order = np.argsort(keys)
     s = keys[order]
     same = s[1:] == s[:-1]
     again, before = np.zeros(len(keys), dtype=bool), np.zeros(len(keys), dtype=bool)
@@ -46,11 +46,11 @@ def _twice(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return again, before
 
 
-def measure_block(data: np.ndarray, at: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-    """Counts of each text; and of its lines with words: text, hash of the normalised line, words."""
+def measure_block(data: np.ndarray, at: np.ndarray, w: Words | None = None, h: np.ndarray | None = None, normal: bool = True) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Counts of each text; and of its lines with words: text, hash of the normalised line (unless it isn't wanted), words."""
     n = len(at) - 1
-    w = split_words(data, at)
-    h = w.hashes()
+    w = split_words(data, at) if w is None else w
+    h = w.hashes() if h is None else h
     text_of = np.repeat(np.arange(n), np.diff(w.first))
     character = (data & 0xC0) != 0x80
     points = np.concatenate([[0], np.cumsum(character, dtype=np.int64)])
@@ -77,7 +77,7 @@ def measure_block(data: np.ndarray, at: np.ndarray) -> tuple[dict[str, np.ndarra
     _, before = _twice(key)
     out["n_dup_lines"] = np.bincount(line_text[before], minlength=n)
 
-    small = span_hashes(LOWER[data], w.start, w.end)
+    small = span_hashes(LOWER[data], w.start, w.end) if normal else h
     return out, line_text, sequence_hashes(small, a, b).view(np.int64), b - a
 
 
