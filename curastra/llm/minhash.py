@@ -345,12 +345,12 @@ def keep_one(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) ->
     lost = scratch.cut(found.where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_lost_id")).distinct())
     n = lost.count()
     lost = F.broadcast(lost) if n <= 500_000 else lost
-    left = docs.join(lost, F.col("doc_id").cast("long") == F.col("_lost_id"), "left_anti")
+    left = docs.join(lost, docs["doc_id"].cast("long") == lost["_lost_id"], "left_anti")
     twice = scratch.cut(left.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_twice_id")))
     if twice.isEmpty():
         return left
-    once = left.join(twice, F.col("doc_id") == F.col("_twice_id"), "left_anti")
-    again = left.join(twice, F.col("doc_id") == F.col("_twice_id"), "left_semi").dropDuplicates(["doc_id"])
+    once = left.join(twice, left["doc_id"] == twice["_twice_id"], "left_anti")
+    again = left.join(twice, left["doc_id"] == twice["_twice_id"], "left_semi").dropDuplicates(["doc_id"])
     return once.unionByName(again)
 
 

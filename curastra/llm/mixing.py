@@ -63,7 +63,7 @@ def tempered(counts: dict[str, int], power: float = TEMPER) -> dict[str, float]:
 
 
 def place(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, id_col: str = "doc_id", source_col: str = "source", period: int = PERIOD) -> DataFrame:
-    """The rows of ``docs`` with ``_block`` (of its source, from 0), ``_slot`` and ``_place`` (rows in order).
+    """``row`` (a struct of all columns of ``docs``), ``block`` (of its source, from 0), ``slot`` and ``place`` (rows in order).
 
     ``weights`` are by source, in any unit; without them the row counts to the power TEMPER. A null source is the
     source ''. Sources without a weight come last, in slots after all others. The order within a source is by md5 of the id, so
@@ -72,10 +72,10 @@ def place(docs: DataFrame, weights: dict[str, float] | None = None, block: int =
     """
     scratch = Scratch(docs.sparkSession)
     md5 = F.md5(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")))
-    rows = docs.withColumn("_source", F.coalesce(F.col(f"`{source_col}`").cast("string"), F.lit(""))).withColumn("_md5", md5)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.col(f"`{source_col}`").cast("string"), F.lit("")).alias("_source"), md5.alias("_md5"))
     counts = {r["_source"]: r["count"] for r in rows.groupBy("_source").count().collect()}
     if not counts:
-        return docs.withColumns({c: F.lit(None).cast("long") for c in ("_block", "_slot", "_place")})
+        return rows.select("row", *[F.lit(None).cast("long").alias(c) for c in ("block", "slot", "place")])
     total = sum(counts.values())
     parts = min(_MD5_CELLS, max(1, -(-total // ROWS_PER_PART)))
     rows = rows.withColumn("_part", F.floor(F.conv(F.substring("_md5", 1, 4), 16, 10).cast("long") * parts / _MD5_CELLS))
@@ -99,21 +99,20 @@ def place(docs: DataFrame, weights: dict[str, float] | None = None, block: int =
     entries = [(k, len(s) if k in slots else 0, s) for k, s in seen.items()]
     table_ = docs.sparkSession.createDataFrame(entries, "_source string, _c long, _slots array<long>")
 
-    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("_source", "_part").orderBy("_md5", F.col(f"`{id_col}`"))) - 1)
+    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("_source", "_part").orderBy("_md5", "_id")) - 1)
     ranked = ranked.join(offsets, ["_source", "_part"]).join(F.broadcast(table_), "_source")
     rank = F.col("_rank") + F.col("_before")
-    ranked = ranked.withColumn("_block", F.floor(rank / block)).withColumn("_in", rank % block)
-    turn = F.when(F.col("_c") > 0, F.floor(F.col("_block") / F.col("_c")) * len(plan) + F.element_at("_slots", (F.col("_block") % F.greatest("_c", F.lit(1)) + 1).cast("int"))).otherwise(F.element_at("_slots", 1) + F.col("_block"))
-    ranked = ranked.withColumn("_slot", turn).withColumn("_place", F.col("_slot") * block + F.col("_in"))
-    return ranked.select(*[F.col(f"`{c}`") for c in docs.columns], "_block", "_slot", "_place")
+    ranked = ranked.withColumn("block", F.floor(rank / block)).withColumn("_in", rank % block)
+    turn = F.when(F.col("_c") > 0, F.floor(F.col("block") / F.col("_c")) * len(plan) + F.element_at("_slots", (F.col("block") % F.greatest("_c", F.lit(1)) + 1).cast("int"))).otherwise(F.element_at("_slots", 1) + F.col("block"))
+    return ranked.withColumn("slot", turn).withColumn("place", F.col("slot") * block + F.col("_in")).select("row", "block", "slot", "place")
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK) -> DataFrame:
     """The rows and columns of ``docs`` in mixed order: partitions and the rows in them follow the schedule."""
     placed = place(docs, weights, block)
-    return placed.repartitionByRange("_place").sortWithinPartitions("_place").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return placed.repartitionByRange("place").sortWithinPartitions("place").select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = string_columns(table(spark, sf_dir, "documents"), doc_id="doc_id", source="source")
-    return place(docs).select("doc_id", "source", F.col("_block").alias("block"), F.col("_slot").alias("slot"), F.col("_place").alias("place"))
+    return place(docs).select("row.*", "block", "slot", "place")

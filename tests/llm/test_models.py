@@ -328,24 +328,25 @@ def test_mixing_places_every_row(spark):
     data = [(i, s) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))] + [(None, "b")]
     df = spark.createDataFrame(data, "doc_id long, source string").withColumn("text", F.lit("t")).repartition(7)
     weights = {"hot": 2, "b": 1, "c": 1, "": 0.5, "absent": 9}
-    out = sorted(mixing.place(df, weights, block=4, period=64).collect(), key=lambda r: r._place)
-    assert len(out) == len(data) and len({r._place for r in out}) == len(data)
+    out = sorted(mixing.place(df.withColumn("slot", F.lit(1)).withColumn("_source", F.lit(2)), weights, block=4, period=64).select("row.source", "slot", "place").collect(), key=lambda r: r.place)
+    assert len(out) == len(data) and len({r.place for r in out}) == len(data)
     assert {r.source for r in out[-20:]} == {"unwanted"}
     wanted, given = mixing.shares({k: w for k, w in weights.items() if k != "absent"}, 64), defaultdict(int)
-    blocks = list(dict.fromkeys((r._slot, r.source or "") for r in out))
+    blocks = list(dict.fromkeys((r.slot, r.source or "") for r in out))
     last = next(i for i, (slot, _) in enumerate(blocks) if i != slot)  # until a source has run out, slots are full
     for t, (_, s) in enumerate(blocks[:last], 1):
         given[s] += 1
         assert all(abs(given[k] - c * t / 64) < 1 for k, c in wanted.items())
     assert last > 20
-    mixed = mixing.mix(df, weights, block=4)
-    assert mixed.columns == df.columns and mixed.count() == len(data)
+    named = df.selectExpr("*", "1 AS place", "2 AS _rank", "3 AS row", "4 AS _slots")
+    mixed = mixing.mix(named, weights, block=4)
+    assert mixed.columns == named.columns and mixed.count() == len(data)
     assert mixing.place(df.limit(0)).count() == 0 and mixing.mix(df.limit(0)).count() == 0
 
 
 def test_mixed_order_is_the_order_of_rows(spark):
     df = spark.range(2000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "x").otherwise("y").alias("source"))
-    want = [r.doc_id for r in sorted(mixing.place(df).collect(), key=lambda r: r._place)]
+    want = [r.row.doc_id for r in sorted(mixing.place(df).collect(), key=lambda r: r.place)]
     assert [r.doc_id for r in mixing.mix(df).collect()] == want
 
 
