@@ -28,6 +28,8 @@ from .textkernel import _power, blocks, mix
 
 SPACE, LITERAL = 0x2581, 0x110000  # a blank; a U+2581 of the text itself, which no piece has
 N_BEST = 4
+#: Larger blocks than elsewhere: distinct words are looked up once in each.
+BLOCK = 1 << 20
 UNKNOWN_PENALTY = 10.0
 _B = np.uint64(0x9E3779B97F4A7C15 | 1)
 _TABLE_BITS = 18
@@ -377,7 +379,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, cache = vocabulary.value, {}
         for batch in batches:
-            for i, j, data, at in blocks(batch.column(1)):
+            for i, j, data, at in blocks(batch.column(1), BLOCK):
                 ids, ids_at, found = encode_block(v, data, at, n, cache)
                 back, back_at = decode_ids(v, ids, ids_at)
                 if len(back) == len(data) and np.array_equal(back_at, at) and np.array_equal(back, data):
