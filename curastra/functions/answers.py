@@ -245,5 +245,3 @@ def calculator_answer(solution: Column | str) -> Column:
     """First flat box, else what follows "answer" up to a line feed or period."""
     return F.coalesce(filled(strip(boxed_flat_first(solution))), filled_strip(F.regexp_extract(col(solution), r"(?i)(?:final\s+)?answer[:\s]+([^\n.]+)", 1)))
 
-
-__all__ = [n for n in dir() if not n.startswith("_")]

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import code, difficulty, domains, problems, prompts, text, thinking
-from ..functions.text import clean_contest_markup, filled, first_filled, strip, token_estimate, truncated, word_count
+from ..functions.text import clean_contest_markup, filled, strip, token_estimate, truncated, word_count
 from ..operators import packing, providers, sandbox
-from ..operators.relational import dedup_fingerprint, running_index
+from ..operators.relational import running_index
 from ..operators.scratch import cut
 
 # The mutation menu, its default level and label, and the domains that are injected.
@@ -164,5 +164,3 @@ def synthetic_records(replies: DataFrame, reasoning: str = "reasoning", content:
     response = F.when(F.coalesce(F.col(reasoning), F.lit("")) != "", thinking.assemble(reasoning, "solution")).otherwise(F.col("solution"))
     return rows.withColumn("topic_guess", domains.by_keywords(about, "topic")).withColumn("model_response", response).withColumn("h", text.prefix_hash("question"))
 
-
-__all__ = [n for n in dir() if not n.startswith("_") and n not in ("dedup_fingerprint", "first_filled")]

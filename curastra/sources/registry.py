@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import answers, domains
-from ..functions.text import col, collapse, filled, filled_strip, first_filled, strip, strip_tags
-from ..operators.relational import keep_first, keep_unless_none, longest, modulo_chunk, union_all
+from ..functions.text import col, filled, filled_strip, first_filled, is_model_output, strip, strip_tags
+from ..operators.relational import keep_first, longest, modulo_chunk, numbered, union_all
 
 LOG = logging.getLogger(__name__)
 SEED = ("id", "source", "domain", "problem", "solution", "answer", "raw", "reasoning_level", "ord")
@@ -153,8 +153,6 @@ ANSWER_NAMES = ("answer", "Answer", "solution", "Solution", "output", "response"
 def eval_input(df: DataFrame, dataset: str, question: str | None = None, answer: str | None = None, limit: int | None = None) -> DataFrame:
     """index (from 0, over kept rows), problem, subdomain, dataset, expected_answer."""
     pick = lambda first, names: F.coalesce(*[filled(F.col(f"`{n}`").cast("string")) for n in has(df, *([first] if first else []), *names)] or [F.lit(None).cast("string")])
-    from ..operators.relational import numbered
-
     rows = df.select("ord", pick(question, QUESTION_NAMES).alias("problem"), pick(answer, ANSWER_NAMES).alias("expected_answer")).where("problem IS NOT NULL")
     rows = numbered(rows, ["ord"], "_n").select((F.col("_n") - 1).alias("index"), "problem", F.lit(dataset.rsplit("/", 1)[-1]).alias("subdomain"), F.lit(dataset).alias("dataset"), "expected_answer")
     return rows.where(F.col("index") < limit) if limit is not None else rows
@@ -195,8 +193,6 @@ def detect_text_field(df: DataFrame, dataset: str = "", sample: int = 5) -> str
     """The known text column, else the string column whose first rows hold the longest text that isn't a model's output."""
     if KNOWN_TEXT_FIELDS.get(dataset) in df.columns:
         return KNOWN_TEXT_FIELDS[dataset]
-    from ..functions.text import is_model_output
-
     names = [n for n, t in df.dtypes if t == "string"]
     if not names:
         return None
@@ -265,5 +261,3 @@ def load(spark: SparkSession, config: dict[str, dict], tables: dict[str, DataFra
         raise ValueError("no enabled source")
     return keep_first(union_all(*frames), ["id"], ["_at", "ord"]).drop("_at")
 
-
-__all__ = [n for n in dir() if not n.startswith("_") and n not in ("collapse", "keep_unless_none")]
