@@ -111,11 +111,25 @@ def test_pairs(inputs: Column | str, outputs: Column | str, n: int = 5) -> Colum
     return F.when(k > 0, F.concat(pairs, F.array_repeat(F.get(pairs, F.lit(0)), F.lit(n) - k))).otherwise(pairs)
 
 
-RUNNER = (
-    "import sys, os", "sys.path.insert(0, os.path.dirname(__file__))", "from solution import solve", "from io import StringIO", "", "def run(input_str):",
-    "    sys.stdin = StringIO(input_str)", "    captured = StringIO()", "    sys.stdout = captured", "    solve()", "    sys.stdin = sys.__stdin__",
-    "    sys.stdout = sys.__stdout__", "    return captured.getvalue().strip()", "",
-)
+#: Head of a test module: run(text) gives what solve() prints for that standard input.
+RUNNER = """import contextlib
+import io
+import sys
+
+from solution import solve
+
+
+def run(text):
+    printed = io.StringIO()
+    sys.stdin = io.StringIO(text)
+    try:
+        with contextlib.redirect_stdout(printed):
+            solve()
+    finally:
+        sys.stdin = sys.__stdin__
+    return printed.getvalue().strip()
+
+"""
 
 
 @F.pandas_udf(StringType())
@@ -124,7 +138,7 @@ def test_source(inputs: pd.Series, outputs: pd.Series) -> pd.Series:
 
     def made(i, o):
         pairs = list(zip(i if i is not None else [], o if o is not None else []))
-        return "\n".join([*RUNNER, *(f"def test_{k}(): assert run({str(a).strip()!r}) == {str(b).strip()!r}" for k, (a, b) in enumerate(pairs, 1))])
+        return RUNNER + "\n".join(f"def test_{k}(): assert run({str(a).strip()!r}) == {str(b).strip()!r}" for k, (a, b) in enumerate(pairs, 1))
 
     return pd.Series([made(i, o) for i, o in zip(inputs, outputs)], dtype="object")
 

@@ -11,7 +11,7 @@ from .relational import keep_first
 
 # Fixed values of the packed records.
 INSTRUCTION = "Solve the given coding problem. Provide a step-by-step reasoning trace inside <think> tags, followed by the complete Python solution."
-FIXED = {"Task": "Code Generation", "Domain": "Code", "Language": "English", "Source": "synthetic_data", "Made by": "Team 2", "Reasoning/SFT": "Reasoning"}
+FIXED = {"Task": "Code Generation", "Domain": "Code", "Language": "English", "Source": "synthetic_data", "Made by": "code_pipeline", "Reasoning/SFT": "Reasoning"}
 
 
 def scanned(trials: DataFrame) -> DataFrame:
