@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import fingerprint, prefix_hash
+from .scratch import cut
 
 #: Most rows of a lookup side that is broadcast after being counted.
 BROADCAST_ROWS = 1_000_000
@@ -123,13 +124,15 @@ def keep_unless_none(df: DataFrame, keep: Column) -> DataFrame:
 # order: numbering, chunks, limits
 
 
-def numbered(df: DataFrame, order: list[str | Column], name: str = "rn", parts: int = 64) -> DataFrame:
+def numbered(df: DataFrame, order: list[str | Column], name: str = "rn", parts: int | None = None) -> DataFrame:
     """Rows numbered from 1 over the whole table, without moving them into one task.
 
-    Rows are range-partitioned by the order, numbered inside partitions, and shifted by the counts of earlier ones.
+    Rows are range-partitioned by the order, numbered inside partitions, and shifted by the counts of earlier ones. The
+    ranges are checkpointed: they come from a sample, and counts and rows must see the same ones.
     """
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    ranged = df.repartitionByRange(parts, *cols).sortWithinPartitions(*cols).withColumn("_mid", F.monotonically_increasing_id())
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut(df.repartitionByRange(parts, *cols).sortWithinPartitions(*cols).withColumn("_mid", F.monotonically_increasing_id()))
     ranged = ranged.withColumn("_part", F.shiftright("_mid", 33)).withColumn("_at", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
     sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
