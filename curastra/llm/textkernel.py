@@ -7,6 +7,7 @@ them costs a few numpy passes over the bytes instead of a Python call per word.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,6 +36,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Gives freed memory back: workers outlive their tasks, and what they hold counts against their executor."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 BYTE_CODES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 
 _powers: dict[str, np.ndarray] = {}
@@ -85,6 +96,7 @@ def blocks(texts: pa.Array | pa.ChunkedArray, limit: int = BLOCK_BYTES) -> Itera
     for chunk in texts.chunks if isinstance(texts, pa.ChunkedArray) else [texts]:
         if len(chunk):
             yield from _blocks(chunk, limit)
+    release()
 
 
 def _blocks(arr: pa.Array, limit: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
