@@ -364,8 +364,8 @@ _EDIT = pa.struct([("at", pa.int32()), ("n", pa.int32()), ("ids", pa.list_(pa.in
 _BEST = pa.list_(pa.struct([("score", pa.float64()), ("edits", pa.list_(_EDIT))]))
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str | None = None, n: int = N_BEST) -> DataFrame:
-    """doc_id, n_pieces, ids (best path), n_best, round_trip of every row.
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str | None = None, n: int = N_BEST, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_pieces, ids (best path), n_best, round_trip of every row, and the columns named in ``keep``.
 
     n_best has the n best paths of the whole text, best first: the score, and how the path differs from ``ids`` (at which
     piece, how many pieces it replaces, by which). There are fewer if the lattice has fewer. round_trip says that decoding
@@ -374,7 +374,9 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     driver and travels as arrays of the vocabulary's size.
     """
     vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(model or default_model()))
-    docs = string_columns(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    docs = string_columns(docs, **{"doc_id": id_col, "text": text_col, **{c: c for c in keep}})
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *[f"`{c}`" for c in keep])
+    out = ", ".join([_OUT, *[f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, cache = vocabulary.value, {}
@@ -388,9 +390,10 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
                     same = np.array([np.array_equal(back[back_at[t] : back_at[t + 1]], data[at[t] : at[t + 1]]) for t in range(j - i)])
                 lists = pa.ListArray.from_arrays(pa.array(ids_at.astype(np.int32)), pa.array(ids.astype(np.int32)))
                 options = [[{"score": s, "edits": [{"at": a, "n": k, "ids": x} for a, k, x in edits]} for s, edits in rows] for rows in found]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(ids_at)), lists, pa.array(options, _BEST), pa.array(same)], names=["doc_id", "n_pieces", "ids", "n_best", "round_trip"])
+                kept = [batch.column(2 + k).slice(i, j - i) for k in range(len(keep))]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(ids_at)), lists, pa.array(options, _BEST), pa.array(same), *kept], names=["doc_id", "n_pieces", "ids", "n_best", "round_trip", *keep])
 
-    return docs.mapInArrow(run, _OUT)
+    return docs.mapInArrow(run, out)
 
 
 def decode(rows: DataFrame, ids_col: str = "ids", model: str | None = None, to: str = "text") -> DataFrame:
