@@ -1,18 +1,21 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Documents of a source, in a random but fixed order, form blocks of BLOCK rows. A source of weight w gives its i-th block
-(from 1) the release time floor((i - 1) / w) and the deadline ceil(i / w); earliest deadline first, among released blocks,
-fills one slot at a time. Weights are multiples of 1 / PERIOD and sum to one, so that after PERIOD slots every source has had
-exactly its share and the schedule repeats: the driver schedules one period, and any block's slot follows from it. At
-every slot each source is less than one block away from its weight, as long as it has blocks. When a source runs out, the
-others keep their order and its slots stay empty; no row is dropped or repeated.
+Documents of a source, in a random but fixed order, form blocks of BLOCK rows. A source of weight w (of a sum of one) gives
+its i-th block (from 1) the release time floor((i - 1) / w) and the deadline ceil(i / w); earliest deadline first, among
+released blocks, fills one slot at a time. Weights are exact fractions, so that at every slot each source is less than one
+block away from its target weight, as long as it has blocks, however long the table. Every block gets its own slot: one
+task walks through the blocks (not the rows) and holds two blocks of each source. When a source runs out, its next slot
+stays empty, then the others go on in their own windows; no row is dropped or repeated.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+from collections.abc import Iterator
 from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +26,8 @@ PERIOD = 4096
 #: Default weights are the sources' row counts to this power.
 TEMPER = 0.7
 ROWS_PER_PART = 2_000
+#: Blocks in a batch of the schedule.
+_TURNS = 1 << 16
 _MD5_CELLS = 1 << 16
 
 
@@ -58,17 +63,56 @@ def schedule(slots: dict[str, int]) -> list[str]:
     return out
 
 
+def exact(weights: dict[str, float]) -> dict[str, int]:
+    """The weights above 0 as integers in exactly the same proportion."""
+    given = {k: Fraction(w) for k, w in weights.items() if w > 0}
+    unit = math.lcm(*[w.denominator for w in given.values()])
+    return {k: int(w * unit) for k, w in given.items()}
+
+
+def turns(weights: dict[str, int], blocks: dict[str, int]) -> Iterator[tuple[str, int, int]]:
+    """(source, block from 0, slot) of all blocks: earliest deadline first, in windows of the exact weights.
+
+    Sources of ``blocks`` without a weight follow behind, one after another.
+    """
+    total = sum(weights.values())
+    later = [(0, k, 0) for k in weights if blocks.get(k)]
+    heapq.heapify(later)
+    ready: list[tuple[int, int, str, int]] = []
+    t, end = 0, 0
+    while later or ready:
+        while later and later[0][0] <= t:
+            _, k, i = heapq.heappop(later)
+            heapq.heappush(ready, (-(-(i + 1) * total // weights[k]), -weights[k], k, i))
+            if i < blocks[k]:  # one block past the last, whose slot stays empty
+                heapq.heappush(later, ((i + 1) * total // weights[k], k, i + 1))
+        if not ready:
+            t = later[0][0]
+            continue
+        deadline, _, k, i = heapq.heappop(ready)
+        assert t < deadline, "a set of weights that sums to one can't miss a deadline"
+        if i < blocks[k]:
+            yield k, i, t
+            end = t + 1
+        t += 1
+    for k in sorted(set(blocks) - set(weights)):
+        for i in range(blocks[k]):
+            yield k, i, end + i
+        end += blocks[k]
+
+
 def tempered(counts: dict[str, int], power: float = TEMPER) -> dict[str, float]:
     return {k: n**power for k, n in counts.items() if n > 0}
 
 
-def place(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, id_col: str = "doc_id", source_col: str = "source", period: int = PERIOD) -> DataFrame:
+def place(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, id_col: str = "doc_id", source_col: str = "source", period: int | None = None) -> DataFrame:
     """``row`` (a struct of all columns of ``docs``), ``block`` (of its source, from 0), ``slot`` and ``place`` (rows in order).
 
     ``weights`` are by source, in any unit; without them the row counts to the power TEMPER. A null source is the
     source ''. Sources without a weight come last, in slots after all others. The order within a source is by md5 of the id, so
     a hot source is ranked in parts by the first digits of the hash; equal ids stand together in any order. An
-    empty table gives an empty result. What the driver holds is one count per source and one period.
+    empty table gives an empty result. With ``period``, weights are first rounded to multiples of its inverse. What the
+    driver holds is one count per source.
     """
     scratch = Scratch(docs.sparkSession)
     md5 = F.md5(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")))
@@ -86,25 +130,33 @@ def place(docs: DataFrame, weights: dict[str, float] | None = None, block: int =
         offsets = F.broadcast(offsets)
 
     wanted = {k: w for k, w in (tempered(counts) if weights is None else weights).items() if k in counts}
-    slots = shares(wanted, period) if wanted and any(w > 0 for w in wanted.values()) else {}
-    plan = schedule(slots)
-    seen: dict[str, list[int]] = {k: [] for k in slots}
-    for t, k in enumerate(plan):
-        seen[k].append(t)
-    last = (max((-(-(-(-counts[k] // block)) // c) for k, c in slots.items()), default=0)) * max(1, len(plan))
-    for k in sorted(set(counts) - set(slots)):  # one after another, behind the rest
-        n = -(-counts[k] // block)
-        seen[k] = [last]
-        last += n
-    entries = [(k, len(s) if k in slots else 0, s) for k, s in seen.items()]
-    table_ = docs.sparkSession.createDataFrame(entries, "_source string, _c long, _slots array<long>")
+    ints = (exact(wanted) if period is None else shares(wanted, period)) if any(w > 0 for w in wanted.values()) else {}
+    blocks = {k: -(-n // block) for k, n in counts.items()}
+    if any(-(-blocks[k] * sum(ints.values()) // w) * block >= 1 << 62 for k, w in ints.items()):
+        raise ValueError("weights are too far apart for places of 64 bits")
+
+    def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, part = ["_source", "block", "slot"], []
+        if not sum(b.num_rows for b in batches):
+            return
+        for turn in turns(ints, blocks):
+            part.append(turn)
+            if len(part) == _TURNS:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*part)], names=names)
+                part = []
+        if part:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*part)], names=names)
+
+    spark = docs.sparkSession
+    table_ = scratch.cut(spark.range(0, 1, 1, 1).mapInArrow(plan, "_source string, block long, slot long"))
+    if sum(blocks.values()) <= BROADCAST_ROWS:
+        table_ = F.broadcast(table_)
 
     ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("_source", "_part").orderBy("_md5", "_id")) - 1)
-    ranked = ranked.join(offsets, ["_source", "_part"]).join(F.broadcast(table_), "_source")
+    ranked = ranked.join(offsets, ["_source", "_part"])
     rank = F.col("_rank") + F.col("_before")
-    ranked = ranked.withColumn("block", F.floor(rank / block)).withColumn("_in", rank % block)
-    turn = F.when(F.col("_c") > 0, F.floor(F.col("block") / F.col("_c")) * len(plan) + F.element_at("_slots", (F.col("block") % F.greatest("_c", F.lit(1)) + 1).cast("int"))).otherwise(F.element_at("_slots", 1) + F.col("block"))
-    return ranked.withColumn("slot", turn).withColumn("place", F.col("slot") * block + F.col("_in")).select("row", "block", "slot", "place")
+    ranked = ranked.withColumn("block", F.floor(rank / block)).withColumn("_in", rank % block).join(table_, ["_source", "block"])
+    return ranked.withColumn("place", F.col("slot") * block + F.col("_in")).select("row", "block", "slot", "place")
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK) -> DataFrame:
