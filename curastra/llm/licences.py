@@ -54,7 +54,7 @@ FAMILIES = {
 PERMISSIVE = {"apache", "mit", "bsd", "isc", "cc0", "cc-by", "bsl", "unlicense", "zlib"}
 WEIGHT = {"tag": 0.99, "base": 0.9, "more": 0.8}
 _TOKEN = re.compile(rb"[A-Za-z0-9.+-]+|[()]")
-_LINE_BYTES = 400
+_LEAD = re.compile(rb"[\"' :]*")
 
 
 def family(name: str) -> str | None:
@@ -121,26 +121,39 @@ def evaluate(expression: list[tuple[str, str]], allowed: set[str] = PERMISSIVE)
     return stack[0][0], stack[0][1]
 
 
-def read_expression(line: bytes, known_only: bool) -> tuple[set[str], bool]:
-    """The longest well-formed expression that starts the line; with ``known_only``, of known identifiers alone."""
-    tokens = []
-    for m in _TOKEN.finditer(line):
+def read_expression(line: bytes, known_only: bool, at: int = 0, end: int | None = None) -> tuple[set[str], bool]:
+    """The longest well-formed expression that starts line[at:end]; with ``known_only``, of known identifiers alone.
+
+    One pass: reading stops where no longer prefix can be well-formed.
+    """
+    tokens: list[str] = []
+    whole, depth, operand, last = 0, 0, False, at
+    for m in _TOKEN.finditer(line, at, len(line) if end is None else end):
         t = m.group().decode("ascii").rstrip(".") or "."
-        previous = tokens[-1].lower() if tokens else ""
-        if line[(end if tokens else 0) : m.start()].strip(b" \t:\"'*/"):
+        low = t.lower()
+        if line[last : m.start()].strip(b" \t:\"'*/"):
             break  # something else stands between
-        if known_only and t.lower() not in ("and", "or", "with", "(", ")") and previous != "with" and not family(t):
-            break
+        if low in ("and", "or", "with"):
+            if not operand:
+                break
+            operand = False
+        elif t == "(":
+            if operand:
+                break
+            depth += 1
+        elif t == ")":
+            if not operand or not depth:
+                break
+            depth -= 1
+        else:
+            if operand or known_only and (not tokens or tokens[-1].lower() != "with") and not family(t):
+                break
+            operand = True
         tokens.append(t)
-        end = m.end()
-        if len(tokens) > 64:
-            break
-    while tokens:
-        try:
-            return evaluate(postfix(tokens))
-        except ValueError:
-            tokens.pop()
-    return set(), False
+        last = m.end()
+        if operand and not depth:
+            whole = len(tokens)
+    return evaluate(postfix(tokens[:whole])) if whole else (set(), False)
 
 
 _machine: list = []
@@ -191,6 +204,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i, j, data, at in blocks(batch.column(1)):
             counts, hits = scan_block(data, at)
+            raw = data.tobytes() if hits else b""
             rows = {n: [] for n in names[1:]}
             for t in range(j - i):
                 base, labels, starts, doubt, terms = set(), set(), [], 1.0, []
@@ -203,8 +217,9 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         labels.add(label)
                         doubt *= 1 - WEIGHT["more"]
                     else:
-                        line = data[end : min(end + _LINE_BYTES, int(at[t + 1]))].tobytes().split(b"\n", 1)[0]
-                        found, allowed = read_expression(line.lstrip(b"\"' :"), known_only=True)
+                        stop = raw.find(b"\n", end, int(at[t + 1]))
+                        start = _LEAD.match(raw, end, int(at[t + 1]) if stop < 0 else stop).end()
+                        found, allowed = read_expression(raw, True, start, int(at[t + 1]) if stop < 0 else stop)
                         if found:
                             labels |= found
                             terms.append(allowed)
