@@ -3,7 +3,8 @@
 A whole block of texts becomes one string of words separated by single spaces (a line feed after the last word of a
 text), so that the automaton makes one pass and a phrase never spans two texts. Hits count at word boundaries. After an
 SPDX tag, or after "licensed under", an expression of licence identifiers with AND, OR, WITH and parentheses is read from
-the original line by a shunting-yard parser and evaluated.
+the original line by a shunting-yard parser and evaluated. After the tag and a colon, an identifier of no known family is
+an operand like others and a label of its own; in prose only known ones are read.
 """
 
 from __future__ import annotations
@@ -53,8 +54,12 @@ FAMILIES = {
 }
 PERMISSIVE = {"apache", "mit", "bsd", "isc", "cc0", "cc-by", "bsl", "unlicense", "zlib"}
 WEIGHT = {"tag": 0.99, "base": 0.9, "more": 0.8}
-_TOKEN = re.compile(rb"[A-Za-z0-9.+-]+|[()]")
+_TOKEN = re.compile(rb"(?:DocumentRef-[A-Za-z0-9.-]+:)?[A-Za-z0-9.+-]+|[()]")
 _LEAD = re.compile(rb"[\"' :]*")
+#: What may stand between "licensed under" and the licence.
+_FILLER = re.compile(rb"(?i)[\"' :\t]*(?:(?:the|a|an|either|both|terms|conditions|and|of|following|licen[cs]es?)\b[\"' :\t]*)*")
+#: Values of a tag that name no licence.
+_NO_LICENCE = {"none", "noassertion"}
 
 
 def family(name: str) -> str | None:
@@ -104,27 +109,29 @@ def postfix(tokens: list[str]) -> list[tuple[str, str]]:
 
 
 def evaluate(expression: list[tuple[str, str]], allowed: set[str] = PERMISSIVE) -> tuple[set[str], bool]:
-    """Families named by a postfix expression, and whether its terms allow use under ``allowed`` alone."""
+    """Families (of unknown identifiers the identifier) named by a postfix expression, and whether its terms allow use
+    under ``allowed`` alone."""
     stack: list[tuple[set[str], bool, bool]] = []
     for kind, value in expression:
         if kind == "id":
             f = family(value)
-            stack.append(({f} if f else set(), f in allowed, f is not None))
+            stack.append(({f or value.lower()}, f in allowed, f is not None))
             continue
         right, left = stack.pop(), stack.pop()
         if value == "with":  # an exception only widens what the licence allows
             stack.append((left[0], left[1], left[2]))
-        elif value == "and":
-            stack.append((left[0] | right[0], left[1] and right[1], left[2] and right[2]))
-        else:
-            stack.append((left[0] | right[0], left[1] or right[1], left[2] and right[2]))
+            continue
+        more, less = sorted((left[0], right[0]), key=len, reverse=True)
+        more |= less
+        stack.append((more, left[1] and right[1] if value == "and" else left[1] or right[1], left[2] and right[2]))
     return stack[0][0], stack[0][1]
 
 
 def read_expression(line: bytes, known_only: bool, at: int = 0, end: int | None = None) -> tuple[set[str], bool]:
     """The longest well-formed expression that starts line[at:end]; with ``known_only``, of known identifiers alone.
 
-    One pass: reading stops where no longer prefix can be well-formed.
+    Otherwise an unknown word is an operand too, but not after an operator in lower case if it is a lower-case word, as in
+    prose ("MIT and then"). One pass: reading stops where no longer prefix can be well-formed.
     """
     tokens: list[str] = []
     whole, depth, operand, last = 0, 0, False, at
@@ -146,7 +153,11 @@ def read_expression(line: bytes, known_only: bool, at: int = 0, end: int | None
                 break
             depth -= 1
         else:
-            if operand or known_only and (not tokens or tokens[-1].lower() != "with") and not family(t):
+            if operand or low in _NO_LICENCE or not any(c.isalnum() for c in t):
+                break
+            previous = tokens[-1] if tokens else ""
+            prose = previous in ("and", "or") and t.isalpha() and t.islower()
+            if (known_only or prose) and previous.lower() != "with" and not family(t):
                 break
             operand = True
         tokens.append(t)
@@ -208,7 +219,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = {n: [] for n in names[1:]}
             for t in range(j - i):
                 base, labels, starts, doubt, terms = set(), set(), [], 1.0, []
-                for kind, _, label, k, end in hits.get(t, ()):
+                for kind, phrase, label, k, end in hits.get(t, ()):
                     if kind == "base":
                         base.add(label)
                         starts.append(k)
@@ -218,8 +229,9 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         doubt *= 1 - WEIGHT["more"]
                     else:
                         stop = raw.find(b"\n", end, int(at[t + 1]))
-                        start = _LEAD.match(raw, end, int(at[t + 1]) if stop < 0 else stop).end()
-                        found, allowed = read_expression(raw, True, start, int(at[t + 1]) if stop < 0 else stop)
+                        stop = int(at[t + 1]) if stop < 0 else stop
+                        lead = (_FILLER if phrase == UNDER else _LEAD).match(raw, end, stop)
+                        found, allowed = read_expression(raw, phrase == UNDER or b":" not in lead.group(), lead.end(), stop)
                         if found:
                             labels |= found
                             terms.append(allowed)
@@ -242,7 +254,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     Words are runs outside ``[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after lower-casing A-Z. n_base counts the places of base
     phrases, which may overlap; first_word and last_word are their smallest and largest first word, from 0. labels also
-    has what the method finds: further phrases, and families named by licence expressions. score is the chance that the
+    has what the method finds: further phrases, and families or unknown identifiers named by licence expressions. score is the chance that the
     text carries a licence, of independent evidence: 0 without any. permissive is null without labels. A null text is
     an empty one; repeated rows get equal results; other columns are not read; an empty table gives an empty result.
     """
