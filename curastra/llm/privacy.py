@@ -62,10 +62,18 @@ _HINTS = {
     "ip": re.compile(rb"(?i)\bip\b|host|server|address|login|ssh|ping"),
     "card": re.compile(rb"(?i)card|visa|credit|debit|payment|karte|carte|tarjeta"),
     "phone": re.compile(rb"(?i)phone|tel\b|tel[.:]|call|mobile|fax|contact|telefon"),
-    "secret": re.compile(rb"(?i)(?:token|secret|passw(?:or)?d|api[_ -]?key|access[_ -]?key|credential|auth)\w*[\"']?\s*[=:]\s*[\"']?\Z"),
+    "secret": re.compile(rb"(?i)(?:token|secret|passw(?:or)?d|api[_ -]?key|access[_ -]?key|credential|auth)\w*[\"']?\s*[=:]\s*[\"']?(?:(?:bearer|basic)\s+)?\Z"),
     "national_id": re.compile(rb"(?i)ssn|social security|national id|tax id|identity"),
     "local_phone": re.compile(rb"(?i)phone|tel\b|tel[.:]|call|mobile|fax|contact|telefon"),
 }
+#: A value after this is proposed as a secret whatever its length and digits; narrower than the hint, so that neither
+#: "author:" nor "tokenizer:" proposes the word behind it.
+_NAMED = re.compile(
+    rb"(?i)(?:tokens?|secrets?|passw(?:or)?ds?|api[_ -]?keys?|access[_ -]?keys?|credentials?|auth(?:entication|ori[sz]ation)?)(?:[_-]\w*|(?-i:[A-Z0-9])\w*)?[\"']?[ \t]*[=:][ \t]*[\"']?(?:(?:bearer|basic)[ \t]+)?\Z"
+)
+_VALUE = re.compile(rb"(?i)[ \t]*[\"']?(?:(?:bearer|basic)[ \t]+)?")
+_KEY = re.compile(rb"(?:sk|pk)[_-]|ghp_|AKIA|xox[a-z]-")
+_KEY_PAIRS = np.array([256 * a + b for a, b in (b"sk", b"pk", b"gh", b"AK", b"xo")])
 _AGAINST = re.compile(rb"(?i)version|release|\bv\Z|section|chapter|isbn|figure|http|commit|sha|uuid")
 _TOP_DOMAINS = {b"com", b"org", b"net", b"edu", b"gov", b"io", b"de", b"fr", b"es", b"uk", b"eu", b"info"}
 
@@ -108,6 +116,25 @@ def _emails(run: bytes) -> Iterator[tuple[int, int]]:
         p = run.find(b"@", p + 1)
 
 
+def _sure(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Bytes where a run starts that has the prefix of a known kind of key, or a name of secrets before it."""
+    inside, raw = _RUNS["secret"][data], data.tobytes()
+    starts = inside.copy()
+    starts[1:] &= ~inside[:-1]
+    heads = at[:-1][at[:-1] < len(data)]
+    starts[heads] = inside[heads]
+    starts = np.flatnonzero(starts)
+    two = data[starts].astype(np.int64) * 256 + data[np.minimum(starts + 1, len(data) - 1)]
+    out = [p for p in starts[np.isin(two, _KEY_PAIRS)].tolist() if _KEY.match(raw, p)]
+    signs = np.flatnonzero((data == 0x3A) | (data == 0x3D))
+    text = np.searchsorted(at, signs, side="right") - 1
+    for p, lo, hi in zip(signs.tolist(), at[text].tolist(), at[text + 1].tolist()):
+        a = _VALUE.match(raw, p + 1, hi).end()
+        if a < hi and inside[a] and _NAMED.search(raw[max(lo, a - CONTEXT_BYTES) : a]):
+            out.append(a)
+    return np.array(sorted(set(out)), dtype=np.int64)
+
+
 def _found(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
     """(text, kind number, start byte, end byte) of all proposals; base kinds are those whose checks hold."""
     digit = _DIGIT[data]
@@ -115,6 +142,8 @@ def _found(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int, int, in
     for t, a, b in _runs(data, at, _RUNS["email"], np.flatnonzero(data == 64)):
         for x, y in _emails(data[a:b].tobytes()):
             yield t, 0, a + x, a + y
+    for t, a, b in _runs(data, at, _RUNS["secret"], _sure(data, at)):
+        yield t, 4, a, b
     if not len(places):
         return
     dots = np.flatnonzero(data == 46)
@@ -145,7 +174,7 @@ def _found(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int, int, in
                 if x == at[t] or (not _ALNUM[data[x - 1]] and data[x - 1] not in b"+-."):
                     yield t, 6, x, a + m.end()
     for t, a, b in _runs(data, at, _RUNS["secret"], places):
-        if 20 <= b - a <= 512 and 4 <= int(digit[a:b].sum()) < b - a:
+        if b - a >= 20 and 4 <= int(digit[a:b].sum()) < b - a:
             yield t, 4, a, b
 
 
