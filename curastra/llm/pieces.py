@@ -419,5 +419,4 @@ def decode(rows: DataFrame, ids_col: str = "ids", model: str | None = None, to:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = encode(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_pieces", "ids", F.col("n_best.score").alias("scores"), "round_trip")
+    return encode(table(spark, sf_dir, "documents"))
