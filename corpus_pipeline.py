@@ -28,9 +28,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, the pieces of its text, and slot and place in the mixture: files keep no order, so that it is data."""
+    """doc_id, the pieces of its text with its N best paths and the decode check, and slot and place in the mixture: files
+    keep no order, so that it is data."""
     placed = mixing.place(docs.select("doc_id", "source", "text")).select("row.doc_id", "row.text", "slot", "place")
-    return pieces.encode(placed, n=1, keep=("slot", "place")).select("doc_id", "n_pieces", "ids", "slot", "place")
+    return pieces.encode(placed, keep=("slot", "place"))
 
 
 STAGES = [
