@@ -6,17 +6,19 @@ memory, so a shingle costs one contiguous read and one vector minimum for all co
 
 No group is ever expanded into all its pairs:
 
-1. Documents with equal shingle sets fall into one class by a 128-bit set hash; only its smallest doc_id goes on.
-2. Band keys give each bucket a pivot, its smallest id. The distinct (pivot, member) rows of all buckets of a pivot
-   form a group, so two documents that share any bucket share a group.
+1. Rows with equal shingle sets fall into one class by a 128-bit set hash. Classes are numbered; doc_ids come back at the end,
+   so that an id may stand for several texts.
+2. Band keys give each bucket a pivot, its smallest class. The distinct (pivot, member) rows of all buckets of a pivot
+   form a star.
 3. Pivots are verified against their members, in chunks; links give first components.
-4. Groups whose members still lie in several components are compared in square blocks of bounded size: first on
-   signature bits, where only members with a possible partner go on, then on full shingle sets. A block returns
-   links that join components, not pairs.
+4. Buckets whose members still lie in several components are compared in blocks of bounded size, those outside the bucket's
+   commonest component against all: first on signature bits, where only members with a possible partner go on, then on full
+   shingle sets. A block returns links that join components, not pairs.
 5. Components of all links.
 
-Every link of a candidate pair is found; candidates miss a pair at the threshold with a chance under ``MISS``, and less
-the more alike the texts are.
+Every link is confirmed on full sets. A pair at the threshold is missed with a chance under ``MISS`` by the bands and under
+another ``MISS`` by the tests of signature bits in steps 3 and 4 (a margin of ``SIGMAS`` deviations), and less the more alike
+the texts are.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, bits_needed, ceil_div, keys_join, string_columns, table
+from .common import BROADCAST_ROWS, Scratch, bits_needed, ceil_div, keys_join, string_columns, table
 from .components import components
 from .textkernel import LOWER, blocks, mix, split_words
 
@@ -37,9 +39,14 @@ UNIVERSE = 1 << 22
 MISS = 1e-7
 CHUNK = 256
 SIDE = 512
+#: Sides of blocks of signature bits (a member takes some 80 bytes), and most shingles on a side of a block of texts.
+BITS_SIDE = 2048
+SIDE_SHINGLES = 1 << 21
 SIGMAS = 6.0
 _SEED = 20240229
 _WORDS64 = 4
+#: A shingle in at most so many pairs of sets is counted pair by pair; the others go into matrices of so many columns.
+RARE, COLUMNS = 16, 4096
 
 _pi: dict[int, np.ndarray] = {}
 
@@ -112,14 +119,14 @@ _SKETCH = [f"s{i}" for i in range(_WORDS64)]
 
 def _signed(words: int, rows: int, bands: int):
     k = rows * bands
-    names = ["doc_id", "n", "f1", "f2", *_SKETCH, "bands"]
+    names = ["doc_id", "t", "n", "f1", "f2", *_SKETCH, "bands"]
     times = mix(np.arange(1, rows + 1, dtype=np.uint64)) | np.uint64(1)
     salt = mix(np.arange(bands, dtype=np.uint64) + np.uint64(77))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0)
-            for i, j, data, at in blocks(batch.column(1)):
+            ids, t = batch.column(0), batch.column(1)
+            for i, j, data, at in blocks(batch.column(2)):
                 sets = shingle_sets(data, at, words)
                 sigs = np.zeros((j - i, k), dtype=np.uint32)
                 f = np.zeros((j - i, 2), dtype=np.int64)
@@ -130,9 +137,9 @@ def _signed(words: int, rows: int, bands: int):
                 sketch = _sketch(sigs)
                 n = np.array([len(s) for s in sets], dtype=np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (j - i + 1) * bands, bands, dtype=np.int32)), pa.array(key.ravel()))
-                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(n), pa.array(f[:, 0]), pa.array(f[:, 1]), *[pa.array(sketch[:, c]) for c in range(_WORDS64)], lists], names=names)
+                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), t.slice(i, j - i), pa.array(n), pa.array(f[:, 0]), pa.array(f[:, 1]), *[pa.array(sketch[:, c]) for c in range(_WORDS64)], lists], names=names)
 
-    return run, "doc_id long, n long, f1 long, f2 long, " + ", ".join(f"{c} long" for c in _SKETCH) + ", bands array<long>"
+    return run, "doc_id long, t long, n long, f1 long, f2 long, " + ", ".join(f"{c} long" for c in _SKETCH) + ", bands array<long>"
 
 
 def _linked(inter, na, nb, num: int, den: int):
@@ -169,7 +176,7 @@ def _verify_stars(words: int, num: int, den: int):
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Consecutive rows with equal keys; a group has at most 2 * SIDE or so rows by construction."""
+    """Consecutive rows with equal keys; a group has about two chunks of rows at most by construction."""
     held: list[pa.RecordBatch] = []
     now = None
     for batch in batches:
@@ -193,60 +200,79 @@ def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.
 
 def _may_link(k: int, need: int, num: int, den: int):
     """Members of a block that have a possible partner in another component, by size and signature bits."""
-    bits = np.array([bin(i).count("1") for i in range(1 << 16)], dtype=np.uint8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in _grouped(batches, ["p", "bi", "bj"]):
-            sk = np.stack([g[c].to_numpy() for c in _SKETCH], axis=1).view(np.uint16).reshape(g.num_rows, -1)
+        for g in _grouped(batches, ["h", "bi", "bj"]):
+            sk = np.stack([g[c].to_numpy() for c in _SKETCH], axis=0).view(np.uint64)
             n, comp, ids, chunk = (g[c].to_numpy() for c in ("n", "comp", "id", "chunk"))
             hit = np.zeros(len(n), dtype=bool)
-            own = chunk == g["bi"][0].as_py()
-            same = g["bi"][0].as_py() == g["bj"][0].as_py()
-            left, right = np.flatnonzero(own), np.arange(len(n)) if same else np.flatnonzero(~own)
+            left, right = np.flatnonzero(chunk == g["bi"][0].as_py()), np.flatnonzero(chunk == g["bj"][0].as_py())
             for s in range(0, len(left), 64):
                 rows = left[s : s + 64]
-                differ = bits[sk[rows][:, None, :] ^ sk[right][None, :, :]].sum(axis=2, dtype=np.int32)
+                differ = np.zeros((len(rows), len(right)), dtype=np.uint16)
+                for word in sk:
+                    differ += np.bitwise_count(word[rows][:, None] ^ word[right])
                 low, high = np.minimum(n[rows][:, None], n[right]), np.maximum(n[rows][:, None], n[right])
                 ok = (differ <= k - need) & (comp[rows][:, None] != comp[right]) & (den * low >= num * high)
                 hit[rows] |= ok.any(axis=1)
                 hit[right] |= ok.any(axis=0)
             if hit.any():
-                yield pa.RecordBatch.from_arrays([pa.array(g["p"].to_numpy()[hit]), pa.array(ids[hit])], names=["p", "id"])
+                yield pa.RecordBatch.from_arrays([pa.array(g["h"].to_numpy()[hit]), pa.array(ids[hit])], names=["h", "id"])
 
     return run
 
 
-def _link_blocks(words: int, k: int, num: int, den: int):
+def intersections(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Size of the intersection of each set of ``a`` with each of ``b``; sets are distinct hashes.
+
+    Shingles that few sets hold are counted pair by pair, the others by products of 0/1 matrices, COLUMNS at a time.
+    """
+    na, nb = len(a), len(b)
+    out = np.zeros(na * nb, dtype=np.float64)
+    row = np.repeat(np.arange(na + nb), [len(s) for s in (*a, *b)])
+    if not len(row):
+        return out.reshape(na, nb)
+    _, col = np.unique(np.concatenate([*a, *b]), return_inverse=True)
+    mine = row < na
+    left, right = np.bincount(col[mine], minlength=int(col.max()) + 1), np.bincount(col[~mine], minlength=int(col.max()) + 1)
+    times = left * right
+    rare = (times > 0) & (times <= RARE)
+    # rare shingles: every entry of a set of ``a`` meets the entries of ``b`` in its column
+    x, y = np.flatnonzero(mine & rare[col]), np.flatnonzero(~mine & rare[col])
+    y = y[np.argsort(col[y], kind="stable")]
+    first = np.searchsorted(col[y], col[x])
+    size = right[col[x]]
+    to = np.concatenate([[0], np.cumsum(size)])
+    meet = np.arange(int(to[-1])) - np.repeat(to[:-1] - first, size)
+    out += np.bincount(np.repeat(row[x], size) * nb + row[y[meet]] - na, minlength=na * nb)
+    out = out.reshape(na, nb)
+    often = np.flatnonzero(times > RARE)
+    place = np.full(len(times), -1)
+    place[often] = np.arange(len(often))
+    used = np.flatnonzero(place[col] >= 0)
+    used = used[np.argsort(place[col[used]], kind="stable")]
+    cuts = np.searchsorted(place[col[used]], np.arange(0, len(often) + COLUMNS, COLUMNS))
+    for k, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])):
+        e = used[lo:hi]
+        m = np.zeros((na + nb, COLUMNS), dtype=np.float32)
+        m[row[e], place[col[e]] - k * COLUMNS] = 1
+        out += m[:na] @ m[na:].T
+    return out.astype(np.int64)
+
+
+def _link_blocks(words: int, num: int, den: int):
     """Exact links between components within a block of texts; one link for each two components that meet."""
-    least = bits_needed(num / den, k, SIGMAS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in _grouped(batches, ["p", "bi", "bj"]):
+        for g in _grouped(batches, ["h", "bi", "bj"]):
             ids, root, chunk = g["id"].to_numpy(), g["comp"].to_numpy().copy(), g["chunk"].to_numpy()
             sets = [s for _, _, data, at in blocks(g["text"]) for s in shingle_sets(data, at, words)]
             n = np.array([len(s) for s in sets])
-            sigs = np.stack([signature(s, k) if len(s) else np.zeros(k, np.uint32) for s in sets]).T.copy()
-            same = g["bi"][0].as_py() == g["bj"][0].as_py()
-            left = np.flatnonzero(chunk == g["bi"][0].as_py())
-            right = np.arange(len(ids)) if same else np.flatnonzero(chunk != g["bi"][0].as_py())
+            left, right = np.flatnonzero(chunk == g["bi"][0].as_py()), np.flatnonzero(chunk == g["bj"][0].as_py())
+            linked = _linked(intersections([sets[i] for i in left], [sets[i] for i in right]), n[left][:, None], n[right], num, den)
             a, b = [], []
-            for x in left.tolist():
-                low, high = np.minimum(n[x], n[right]), np.maximum(n[x], n[right])
-                open_ = (root[right] != root[x]) & (den * low >= num * high) & (low > 0)
-                if same:
-                    open_ &= right > x
-                y = right[open_]
-                if not len(y):
-                    continue
-                y = y[(sigs[:, x][:, None] == sigs[:, y]).sum(axis=0) >= least]
-                if not len(y):
-                    continue
-                both = np.concatenate([sets[i] for i in y])
-                where = np.searchsorted(sets[x], both)
-                where[where == len(sets[x])] = 0
-                found = np.add.reduceat(sets[x][where] == both, np.concatenate([[0], np.cumsum(n[y])[:-1]]), dtype=np.int64)
-                y = y[_linked(found, n[x], n[y], num, den)]
-                for i in y.tolist():
+            for x, row in zip(left.tolist(), linked):
+                for i in right[row & (root[right] != root[x])].tolist():
                     if root[i] != root[x]:
                         a.append(ids[x])
                         b.append(ids[i])
@@ -258,99 +284,131 @@ def _link_blocks(words: int, k: int, num: int, den: int):
 
 
 def _chunked(members: DataFrame, most: int, name: str) -> DataFrame:
-    """The rows with ``c``, the number of chunks of ``most`` members in their group, and a chunk drawn by the id.
+    """The rows with ``c``, the number of chunks of ``most`` members in their star, and a chunk drawn by the id.
 
-    Only groups of several chunks are joined, by broadcast unless they are too many: no task gets a hot group whole.
+    Only stars of several chunks are joined, by broadcast unless they are too many: no task gets a hot star whole.
     """
     large = members.groupBy("p").agg(ceil_div(F.count("*"), most).alias("c")).where("c > 1")
     dealt = keys_join(members, large, "p", "left").withColumn("c", F.coalesce("c", F.lit(1).cast("long")))
     return dealt.withColumn(name, F.pmod(F.xxhash64("id"), F.col("c")))
 
 
-def _blocked(members: DataFrame) -> DataFrame:
-    """Rows (p, id, ...) dealt into square blocks (p, bi, bj) of at most about SIDE members a side."""
-    dealt = _chunked(members, SIDE, "chunk")
-    dealt = dealt.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("c") - 1)))
-    return dealt.withColumn("bi", F.least("chunk", "k")).withColumn("bj", F.greatest("chunk", "k")).drop("c", "k")
-
-
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, num: int = 85, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs``.
-
-    Texts are lower-cased (A-Z) and split at ASCII white space. Two documents are linked if
-    den * |A and B| >= num * |A or B| on their sets of ``words``-word shingles (num/den is the similarity). component_id
-    is the smallest id that links reach, and kept says whether that is the row's own id.
+def _blocked(members: DataFrame, side: int) -> DataFrame:
+    """Rows (h, id, n, minor, ...) dealt into blocks (h, bi, bj) of two chunks of about ``side`` members each, or one chunk.
 
-    A null or blank text has no shingles and is linked with nothing. Repeated rows get equal results. A row with a
-    null id takes the component of equal texts that have an id, or none; kept is then false. An empty table gives an
-    empty result. Other columns are not read.
+    Chunks of minor members (those outside their bucket's commonest component) meet each other and all other chunks;
+    two chunks of the commonest component don't meet.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark)
+    minor = lambda x: F.sum(F.when(F.col("minor"), x).otherwise(0))
+    major = lambda x: F.sum(F.when(F.col("minor"), 0).otherwise(x))
+    chunks = lambda part: F.greatest(ceil_div(part(F.lit(1)), side), ceil_div(part(F.col("n")), SIDE_SHINGLES))
+    sizes = members.groupBy("h").agg(chunks(minor).alias("few"), chunks(major).alias("many"))
+    dealt = keys_join(members, sizes, "h", "inner")
+    draw = F.xxhash64("id", "h")
+    dealt = dealt.withColumn("chunk", F.when(F.col("minor"), F.pmod(draw, F.col("few"))).otherwise(F.col("few") + F.pmod(draw, F.greatest("many", F.lit(1)))))
+    last = F.when(F.col("minor"), F.col("few") + F.col("many")).otherwise(F.col("few")) - 1
+    dealt = dealt.where("few > 0").withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    return dealt.withColumn("bi", F.least("chunk", "k")).withColumn("bj", F.greatest("chunk", "k")).drop("few", "many", "k")
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str, words: int, num: int, den: int) -> DataFrame:
+    """doc_id, t (hash of the text), n (shingles), component (a number of it, null without shingles), least (the smallest id in it)."""
+    scratch = Scratch(docs.sparkSession)
     rows, bands = bands_for(num / den)
     k = rows * bands
-    docs = string_columns(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", F.col("text").cast("string"))
+    docs = string_columns(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    docs = docs.select("doc_id", F.xxhash64("text").alias("t"), "text")
 
     run, schema = _signed(words, rows, bands)
     signed = scratch.cut(docs.mapInArrow(run, schema))
-    classes = scratch.cut(
-        signed.where("n > 0 AND doc_id IS NOT NULL")
-        .groupBy("f1", "f2", "n")
-        .agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in _SKETCH], F.first("bands").alias("bands"))
-    )
+    classes = signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("f1", "f2", "n")
+    classes = classes.agg(F.min(F.struct("doc_id", "t")).alias("rep"), *[F.first(c).alias(c) for c in _SKETCH], F.first("bands").alias("bands"))
+    # numbers differ between attempts of a task; those of the written table are the ones that count
+    classes = scratch.cut(classes.select(F.monotonically_increasing_id().alias("id"), "f1", "f2", "n", "rep.doc_id", "rep.t", *_SKETCH, "bands"))
     thin = classes.select("id", "n", *_SKETCH)
 
+    def texts(wanted: DataFrame) -> DataFrame:
+        """(id, text) of classes; a row that is there many times counts once."""
+        reps = keys_join(classes.select("id", "doc_id", "t"), wanted, "id", "left_semi")
+        return keys_join(docs, reps, ["doc_id", "t"], "inner").groupBy("id").agg(F.first("text").alias("text"))
+
     entries = classes.select("id", F.explode("bands").alias("h"))
     pivots = entries.groupBy("h").agg(F.min("id").alias("p"), F.max("id").alias("top")).where("p < top").select("h", "p")
-    groups = scratch.cut(entries.join(pivots, "h").where("id <> p").select("p", "id").distinct())
+    buckets = scratch.cut(entries.join(pivots, "h").where("id <> p").select("h", "p", "id"))
 
     # pivots against their members
     need = bits_needed((1 + num / den) / 2, k, SIGMAS)
     other = thin.select(F.col("id").alias("p"), F.col("n").alias("pn"), *[F.col(c).alias(f"p{c}") for c in _SKETCH])
     agree = F.lit(k) - sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"p{c}"))) for c in _SKETCH), F.lit(0))
-    star = groups.join(thin, "id").join(other, "p").where((agree >= need) & (den * F.least("n", "pn") >= num * F.greatest("n", "pn"))).select("p", "id")
+    star = buckets.select("p", "id").distinct().join(thin, "id").join(other, "p").where((agree >= need) & (den * F.least("n", "pn") >= num * F.greatest("n", "pn"))).select("p", "id")
     star = scratch.cut(star)
     dealt = _chunked(star, CHUNK, "salt")
     asked = dealt.select("p", "salt", F.lit(1).alias("member"), "id").unionAll(dealt.select("p", "salt").distinct().select("p", "salt", F.lit(0), F.col("p").alias("id")))
-    texts = keys_join(docs.withColumnRenamed("doc_id", "id"), asked.select("id").distinct(), "id", "left_semi")
-    rowed = asked.join(texts, "id").repartition("p", "salt").sortWithinPartitions("p", "salt", "member").select("p", "salt", "member", "id", "text")
+    rowed = asked.join(texts(asked.select("id").distinct()), "id").repartition("p", "salt").sortWithinPartitions("p", "salt", "member").select("p", "salt", "member", "id", "text")
     links = scratch.cut(rowed.mapInArrow(_verify_stars(words, num, den), "a long, b long"))
     first = components(scratch, links)
 
     # what the pivots left apart, in blocks
-    parted = groups.join(first, "id", "left").select("p", "id", F.coalesce("comp", "id").alias("comp"))
-    open_ = parted.groupBy("p").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("p")
-    members = scratch.cut(parted.join(open_, "p").join(thin, "id"))
-    sketched = _blocked(members).repartition("p", "bi", "bj").sortWithinPartitions("p", "bi", "bj").select("p", "bi", "bj", "chunk", "id", "comp", "n", *_SKETCH)
-    alive = scratch.cut(sketched.mapInArrow(_may_link(k, need, num, den), "p long, id long").distinct())
-    staged = _blocked(alive.join(members.select("p", "id", "comp"), ["p", "id"]))
-    texts = keys_join(docs.withColumnRenamed("doc_id", "id"), alive.select("id").distinct(), "id", "left_semi")
-    staged = staged.join(texts, "id").repartition("p", "bi", "bj").sortWithinPartitions("p", "bi", "bj").select("p", "bi", "bj", "chunk", "id", "comp", "text")
-    more = scratch.cut(staged.mapInArrow(_link_blocks(words, k, num, den), "a long, b long"))
+    parted = scratch.cut(keys_join(buckets.select("h", "id"), first, "id", "left").select("h", "id", F.coalesce("comp", "id").alias("comp")))
+    per = parted.groupBy("h", "comp").agg(F.count("*").alias("m")).groupBy("h")
+    per = per.agg(F.max(F.struct("m", "comp")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("h", F.col("main.comp").alias("main"))
+    members = keys_join(parted, per, "h", "inner").select("h", "id", "comp", (F.col("comp") != F.col("main")).alias("minor"))
+    members = scratch.cut(members.join(thin, "id"))
+    by_block = ["h", "bi", "bj"]
+    sketched = _blocked(members, BITS_SIDE).repartition(*by_block).sortWithinPartitions(*by_block).select(*by_block, "chunk", "id", "comp", "n", *_SKETCH)
+    alive = scratch.cut(sketched.mapInArrow(_may_link(k, need, num, den), "h long, id long").distinct())
+    staged = _blocked(members.select("h", "id", "comp", "minor", "n").join(alive, ["h", "id"]), SIDE)
+    staged = staged.join(texts(alive.select("id").distinct()), "id").repartition(*by_block).sortWithinPartitions(*by_block).select(*by_block, "chunk", "id", "comp", "text")
+    more = scratch.cut(staged.mapInArrow(_link_blocks(words, num, den), "a long, b long"))
     comps = components(scratch, links.unionAll(more))
 
-    of_class = classes.select("f1", "f2", F.col("n").alias("cn"), "id").join(comps, "id", "left").select("f1", "f2", "cn", F.coalesce("comp", "id").alias("comp"))
-    out = signed.select("doc_id", "n", "f1", "f2").join(of_class.withColumnRenamed("cn", "n"), ["f1", "f2", "n"], "left")
-    comp = F.when(F.col("n") > 0, F.coalesce("comp", "doc_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    least = comps.join(classes.select("id", "doc_id"), "id").groupBy("comp").agg(F.min("doc_id").alias("least"))
+    comps = scratch.cut(comps.join(least, "comp").select("id", "comp", "least"))
+    scratch.drop(buckets, star, links, parted, members, alive, more)
+    of_class = keys_join(classes.select("f1", "f2", "n", "id", "doc_id"), comps, "id", "left")
+    of_class = of_class.select("f1", "f2", "n", F.coalesce("comp", "id").alias("component"), F.coalesce("least", "doc_id").alias("least"))
+    return signed.select("doc_id", "t", "n", "f1", "f2").join(of_class, ["f1", "f2", "n"], "left").select("doc_id", "t", "n", "component", "least")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, num: int = 85, den: int = 100) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of ``docs``.
+
+    Texts are lower-cased (A-Z) and split at ASCII white space. Two rows are linked if
+    den * |A and B| >= num * |A or B| on their sets of ``words``-word shingles (num/den is the similarity). component_id
+    is the smallest id that links reach, and kept says whether that is the row's own id.
+
+    A null or blank text has no shingles and is linked with nothing. Repeated rows get equal results; rows with one id and
+    different texts are documents of their own. A row with a null id takes the component of equal texts that have an id,
+    or none; kept is then false. An empty table gives an empty result. Other columns are not read.
+    """
+    rows = _rows(docs, id_col, text_col, words, num, den)
+    out = rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
 def keep_one(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The columns of ``docs``, with one document of each near-duplicate group (the smallest id); repeated ids keep one row.
+    """The columns of ``docs``, with one document of each near-duplicate group: the smallest id, then the smallest hash of the text.
 
-    Rows without an id stay: they can't be told apart from one another.
+    Of rows that repeat both id and text, the one with the smallest hash of all columns stays (columns that hold maps don't
+    count); an id with texts of several groups keeps a row in each. Rows without an id stay: they can't be told apart.
     """
-    found = near_duplicates(docs, words=words, num=num, den=den)
     scratch = Scratch(docs.sparkSession)
-    lost = scratch.cut(found.where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_lost_id")).distinct())
-    n = lost.count()
-    lost = F.broadcast(lost) if n <= 500_000 else lost
-    left = docs.join(lost, docs["doc_id"].cast("long") == lost["_lost_id"], "left_anti")
-    twice = scratch.cut(left.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_twice_id")))
+    found = scratch.cut(_rows(docs, "doc_id", "text", words, num, den).where("doc_id IS NOT NULL").select("doc_id", "t", "component"))
+    first = found.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("doc_id", "t")).alias("k"), F.max(F.struct("doc_id", "t")).alias("top"))
+    first = first.where("k <> top").select("component", "k")
+    lost = keys_join(found, first, "component", "inner").where(F.struct("doc_id", "t") != F.col("k"))
+    lost = scratch.cut(lost.select(F.col("doc_id").alias("_lost_id"), F.col("t").alias("_lost_t")).distinct())
+    key, text = docs["doc_id"].cast("long"), F.xxhash64(docs["text"].cast("string"))
+    small = lambda keys: F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+    left = docs.join(small(lost), (key == lost["_lost_id"]) & (text == lost["_lost_t"]), "left_anti")
+    twice = scratch.cut(found.groupBy("doc_id", "t").count().where("count > 1").select(F.col("doc_id").alias("_twice_id"), F.col("t").alias("_twice_t")))
     if twice.isEmpty():
         return left
-    once = left.join(twice, left["doc_id"] == twice["_twice_id"], "left_anti")
-    again = left.join(twice, left["doc_id"] == twice["_twice_id"], "left_semi").dropDuplicates(["doc_id"])
+    on = (key == twice["_twice_id"]) & (text == twice["_twice_t"])
+    once = left.join(small(twice), on, "left_anti")
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    again = left.join(small(twice), on, "left_semi").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("k1"), text.alias("k2"), F.xxhash64(*hashed).alias("h"))
+    again = again.groupBy("k1", "k2").agg(F.min_by("row", "h").alias("row")).select("row.*")
     return once.unionByName(again)
 
 
