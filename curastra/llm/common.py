@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ from ..shipping import importable
 
 #: Most rows of a two-column key table that is broadcast; larger ones are joined by shuffle.
 BROADCAST_ROWS = 500_000
+#: Most vectors of partial sums that the driver adds.
+SLOTS = 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,9 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; one of our own only where the session has none (a local test)."""
+    """The folder of ``spark.checkpoint.dir``; one of our own only where a local session has none."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="curastra-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -72,6 +77,32 @@ def keys_join(df: DataFrame, keys: DataFrame, on: str, how: str, n_keys: int | N
     return df.join(F.broadcast(keys) if n <= BROADCAST_ROWS else keys, on, how)
 
 
+def _added(dtype):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for x in batch.column(0):
+                part = np.frombuffer(x.as_py(), dtype=dtype)
+                total = part.copy() if total is None else total + part
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+
+    return run
+
+
+def summed(parts: DataFrame, dtype) -> np.ndarray | None:
+    """The sum of vectors of one size, one for each partition (``sums``, their bytes), or None if there are none.
+
+    They are added in a tree: no task reads more than about the square root of their number, and the driver a few."""
+    n = parts._jdf.queryExecution().toRdd().getNumPartitions()
+    parts = parts.withColumn("slot", F.spark_partition_id())
+    while n > SLOTS:
+        n = max(SLOTS, math.isqrt(n)) if n > SLOTS * SLOTS else SLOTS
+        parts = parts.select("sums", (F.col("slot") % n).alias("slot")).repartition(n, "slot").select("sums").mapInArrow(_added(dtype), "sums binary").withColumn("slot", F.spark_partition_id())
+    rows = parts.select("sums").collect()
+    return sum(np.frombuffer(r["sums"], dtype=dtype) for r in rows) if rows else None
+
+
 def string_columns(df: DataFrame, **wanted: str) -> DataFrame:
     """Only the named columns under our own names, so that extra columns of the input never clash."""
     importable(df.sparkSession)
