@@ -32,11 +32,12 @@ MORE_KINDS = ("secret", "national_id", "local_phone")
 KINDS = BASE_KINDS + MORE_KINDS
 ACCEPT = 0.5
 CONTEXT_BYTES = 40
+LABELERS = ("form", "gazetteer", "context", "boundary", "shape")
 RIDGE = 0.1
 #: Most of a kind's proposals that count as personal before any vote; weight of an ordinary labeler's chances in EM;
-#: least logarithm of the odds of a vote.
-PRIOR, PSEUDO, LEAN = 0.4, 20.0, float(np.log(2))
-LABELERS = ("form", "gazetteer", "context", "boundary", "shape")
+#: how often at least a labeler is right for each time that it is wrong.
+PRIOR, PSEUDO = 0.4, 20.0
+ODDS = dict(zip(LABELERS, (2.0, 4.0, 4.0, 2.0, 2.0)))
 ABSTAIN, NO, YES = 0, 1, 2
 
 
@@ -300,7 +301,7 @@ def reliabilities(counts: list[tuple[int, int, int]], rounds: int = 50) -> dict[
     """Posterior of each (kind, votes) pattern, by EM over counts of patterns.
 
     Two hidden classes (personal or not), one prior per kind, and for every labeler the chances of its votes under either
-    class. Labelers are taken to be right twice as often as wrong at least (LEAN), so that the classes can't swap or merge where
+    class. Labelers are taken to be right ODDS times as often as wrong at least, so that the classes can't swap or merge where
     a kind has no counter-examples; an abstention says nothing. The prior stays at PRIOR or below, so that no span is personal without a vote.
     Starts from votes taken at face value; PSEUDO votes of an ordinary labeler smooth the counts.
     """
@@ -321,7 +322,8 @@ def reliabilities(counts: list[tuple[int, int, int]], rounds: int = 50) -> dict[
                 p = (PSEUDO * if_yes + (weight * post)[at].sum()) / (PSEUDO + (weight * post).sum())
                 q = (PSEUDO * if_no + (weight * (1 - post))[at].sum()) / (PSEUDO + (weight * (1 - post)).sum())
                 lean = np.log(p / q)
-                yes = yes + at * (max(lean, LEAN) if v == YES else min(lean, -LEAN))
+                least = np.log(ODDS[LABELERS[i]])
+                yes = yes + at * (max(lean, least) if v == YES else min(lean, -least))
         new = 1 / (1 + np.exp(np.clip(no - yes, -30, 30)))
         if np.abs(new - post).max() < 1e-6:
             break
