@@ -14,6 +14,7 @@ the same text for any path.
 
 from __future__ import annotations
 
+import bisect
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -34,6 +35,8 @@ UNKNOWN_PENALTY = 10.0
 _B = np.uint64(0x9E3779B97F4A7C15 | 1)
 _TABLE_BITS = 18
 _CELLS = 1 << 18
+#: Longer segments are cut wherever no piece crosses; groups of fewer than FEW of them are searched one by one.
+LONG, FEW = 64, 32
 
 
 def default_model() -> str:
@@ -74,6 +77,8 @@ class Vocabulary:
                 byte_id[int(p[3:5], 16)] = i
             if sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i):
                 special.add(i)
+        if sp.normalize(probe := "\ufb01  \u2167 a ") != (chr(SPACE) + probe).replace(" ", chr(SPACE)):
+            raise ValueError("a model that normalises texts has no exact round trip")
         return cls(pieces, np.array([sp.get_score(i) for i in range(n)]), byte_id, sp.unk_id(), special).ready()
 
     def ready(self) -> Vocabulary:
@@ -146,11 +151,92 @@ def paths(v: Vocabulary, codes: np.ndarray, start: np.ndarray, length: np.ndarra
         # a part must not hold words of very different length
         rows = rows[: int(np.searchsorted(-length[rows], -(longest // 2), side="right"))] if longest > 24 else rows
         a += len(rows)
-        _paths_of(v, codes, start[rows], length[rows], rows, best, loss, all_ids)
+        if longest > LONG and len(rows) < FEW:
+            for r in rows.tolist():
+                all_ids[r], best[r], loss[r] = _path_of(v, codes[start[r] : start[r] + length[r]])
+        else:
+            _paths_of(v, codes, start[rows], length[rows], rows, best, loss, all_ids)
     counts = np.array([len(x) for x in all_ids], dtype=np.int64)
     return np.concatenate(all_ids) if n else np.zeros(0, np.int64), np.concatenate([[0], np.cumsum(counts)]), best, loss
 
 
+def edges_of(v: Vocabulary, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All pieces over ``codes``: first place, length and id (-2: a character without piece), by length and then place."""
+    c = codes.astype(np.uint64) + np.uint64(1)
+    h = np.zeros(len(c), dtype=np.uint64)
+    places, sizes, found = [], [], []
+    for l in range(1, min(v.longest, len(c)) + 1):
+        h = h[: len(c) - l + 1] * _B + c[l - 1 :]
+        ids = v.lookup(h)
+        if l == 1:
+            ids[ids < 0] = -2
+        at = np.flatnonzero(ids != -1)
+        places.append(at)
+        sizes.append(np.full(len(at), l))
+        found.append(ids[at])
+    return np.concatenate(places), np.concatenate(sizes), np.concatenate(found)
+
+
+class Lattice:
+    """The pieces over one segment by their end, and the best score that reaches each place: one forward Viterbi scan."""
+
+    _last: list = []
+
+    def __init__(self, v: Vocabulary, codes: np.ndarray):
+        n = len(codes)
+        place, size, ids = edges_of(v, codes)
+        order = np.lexsort((place, place + size))
+        self.place, self.ids = place[order], ids[order]
+        self.end = self.place + size[order]
+        self.score = np.where(self.ids >= 0, v.scores[self.ids], v.unknown_score)
+        self.first = np.searchsorted(self.end, np.arange(n + 2)).tolist()
+        self.a, self.s = self.place.tolist(), self.score.tolist()
+        a, s, first = self.a, self.s, self.first
+        self.f, self.back = f, back = [0.0] * (n + 1), [0] * (n + 1)
+        for t in range(1, n + 1):
+            top = -np.inf
+            for k in range(first[t], first[t + 1]):
+                x = f[a[k]] + s[k]
+                if x >= top:
+                    top, to = x, k
+            f[t], back[t] = top, to
+
+    @classmethod
+    def of(cls, v: Vocabulary, codes: np.ndarray) -> Lattice:
+        """That of a long segment is kept until the next long one: its best path is wanted first, then its n best."""
+        if len(codes) <= LONG:
+            return cls(v, codes)
+        if not (cls._last and cls._last[0] is v and np.array_equal(cls._last[1], codes)):
+            cls._last[:] = [v, codes.copy(), cls(v, codes)]
+        return cls._last[2]
+
+
+def _path_of(v: Vocabulary, codes: np.ndarray) -> tuple[np.ndarray, float, float]:
+    """What ``_paths_of`` gives, for one long segment: pieces are looked up at all places at once, then one scan each way."""
+    n = len(codes)
+    lattice = Lattice.of(v, codes)
+    a, s, first, f, back = lattice.a, lattice.s, lattice.first, lattice.f, lattice.back
+    g = [-np.inf] * n + [0.0]
+    for t in range(n, 0, -1):
+        tail = g[t]
+        for k in range(first[t], first[t + 1]):
+            x = s[k] + tail
+            if x > g[a[k]]:
+                g[a[k]] = x
+    on, t = [], n
+    while t:
+        on.append(back[t])
+        t = a[back[t]]
+    off = np.ones(len(a), dtype=bool)
+    off[on] = False
+    second = (np.array(f)[lattice.place[off]] + (lattice.score[off] + np.array(g)[lattice.end[off]])).max(initial=-np.inf)
+    out = []
+    for k in reversed(on):
+        x = int(lattice.ids[k])
+        out += [x] if x != -2 else v.fallback(int(codes[a[k]]))
+    return np.array(out, dtype=np.int64), f[n], max(f[n] - second, 0.0) if np.isfinite(second) else np.inf
+
+
 def _paths_of(v, codes, start, length, rows, best, loss, all_ids) -> None:
     m, n = len(start), int(length[0])
     c = codes[np.minimum(start + np.arange(n)[:, None], len(codes) - 1)].astype(np.uint64)  # n x m
@@ -239,37 +325,37 @@ def _paths_of(v, codes, start, length, rows, best, loss, all_ids) -> None:
             all_ids[rows[j]] = np.array(spelled, dtype=np.int64)
 
 
-def n_best(v: Vocabulary, codes: list[int], n: int) -> list[tuple[float, list[int]]]:
-    """The n best paths of one segment, best first: Viterbi forwards, then A-star backwards."""
-    size = len(codes)
-    chars = "".join(chr(c) if c != LITERAL else "\0" for c in codes)
-    f = [0.0] + [-np.inf] * size
-    into: list[list[tuple[int, int, float]]] = [[] for _ in range(size + 1)]
-    for i in range(size):
-        single = False
-        for l in range(1, min(v.longest, size - i) + 1):
-            k = v.id_of.get(chars[i : i + l])
-            if k is not None and not (codes[i] == LITERAL and l == 1):
-                single |= l == 1
-                into[i + l].append((i, k, float(v.scores[k])))
-        if not single:
-            into[i + 1].append((i, -1, v.unknown_score))
-        f[i + 1] = max((f[a] + s for a, _, s in into[i + 1]), default=-np.inf)
-    heap, out, tick = [(-f[size], 0, size, 0.0, None)], [], 0
-    while heap and len(out) < n:
-        _, _, at, tail, path = heapq.heappop(heap)
+def n_best(v: Vocabulary, codes: np.ndarray, n: int, best: list[int]) -> list[tuple[float, list[int]]]:
+    """The n best paths of one segment, best first: Viterbi forwards, then A-star backwards; ``best`` is the path to put first.
+
+    A partial path costs what it loses against the best one, which is exactly what its best completion loses. Open paths
+    lead to different ends, each to one of that cost at least, so that only as many of them stay open as paths are still wanted.
+    """
+    size, lattice = len(codes), Lattice.of(v, codes)
+    a, s, first, f = lattice.a, lattice.s, lattice.first, lattice.f
+    # (loss, place, tie-break, edges so far): the one nearest the start first among equals
+    open_, out, tick = [(0.0, size, 0, None)], [], 0
+    while open_ and len(out) < n:
+        loss, at, _, path = open_.pop(0)
         if at == 0:
-            ids = []
+            found = []
             while path is not None:
-                (k, place), path = path
-                ids += v.fallback(codes[place]) if k < 0 else [k]
-            out.append((tail, ids))
+                k, path = path
+                x = int(lattice.ids[k])
+                found += v.fallback(int(codes[a[k]])) if x < 0 else [x]
+            out.append((f[size] - loss, found))
             continue
-        # longer last pieces first, as in the best path's ties
-        for a, k, s in sorted(into[at]):
-            tick += 1
-            heapq.heappush(heap, (-(f[a] + tail + s), tick, a, tail + s, ((k, a), path)))
-    return out
+        want, top = n - len(out), f[at]
+        for k in range(first[at], first[at + 1]):
+            more = loss + (top - (f[a[k]] + s[k]))
+            if len(open_) < want or more <= open_[-1][0]:
+                tick += 1
+                bisect.insort(open_, (more, a[k], tick, (k, path)))
+                if len(open_) > want:
+                    open_.pop()
+    # among equals, the best path of the text comes first
+    others = [x for x in out if x[1] != best]
+    return [(f[size], best), *others[: n - 1]]
 
 
 def merged(lists: list[list[tuple[float, list[int]]]], best: float, n: int) -> list[tuple[float, tuple[int, ...]]]:
@@ -306,6 +392,20 @@ def decode_ids(v: Vocabulary, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarr
     return data[keep], np.concatenate([[0], np.cumsum(keep)])[text_at]
 
 
+def edit(at: int, old: list[int], new: list[int]) -> tuple[int, int, list[int]]:
+    """(first piece, pieces replaced, ids) that make ``new`` of ``old``, which begins at piece ``at``; long lists without their
+    common ends."""
+    if len(old) <= LONG:
+        return at, len(old), new
+    most = min(len(old), len(new))
+    x, y = np.array(old), np.array(new)
+    differ = np.flatnonzero(x[:most] != y[:most])
+    head = int(differ[0]) if len(differ) else most
+    differ = np.flatnonzero(x[::-1][: most - head] != y[::-1][: most - head])
+    tail = int(differ[0]) if len(differ) else most - head
+    return at + head, len(old) - head - tail, new[head : len(new) - tail]
+
+
 def encode_block(v: Vocabulary, data: np.ndarray, at: np.ndarray, n: int, cache: dict):
     """ids, offsets by text, and for each text its n best (score, [(first piece, pieces replaced, ids)])."""
     codes = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
@@ -326,6 +426,16 @@ def encode_block(v: Vocabulary, data: np.ndarray, at: np.ndarray, n: int, cache:
         cut[1:] |= blank[1:] & ~blank[:-1]
     start = np.flatnonzero(cut)
     end = np.append(start[1:], len(codes))
+    far = np.flatnonzero(end - start > LONG)
+    for k in far.tolist():
+        place, size, _ = edges_of(v, codes[start[k] : end[k]])
+        crossed = np.zeros(int(end[k] - start[k]) + 1, dtype=np.int64)
+        np.add.at(crossed, place + 1, 1)
+        np.add.at(crossed, place + size, -1)
+        cut[start[k] : end[k]] |= np.cumsum(crossed)[:-1] == 0
+    if len(far):
+        start = np.flatnonzero(cut)
+        end = np.append(start[1:], len(codes))
     up, down = _power("up", 0x9E3779B97F4A7C15 | 1, len(codes)), _power("down", pow(0x9E3779B97F4A7C15 | 1, -1, 1 << 64), len(codes))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(codes.astype(np.uint64) + np.uint64(1)) * up[: len(codes)])])
     key = mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
@@ -345,15 +455,19 @@ def encode_block(v: Vocabulary, data: np.ndarray, at: np.ndarray, n: int, cache:
         near = [a + int(k) for k in near[np.argsort(part[near], kind="stable")] if np.isfinite(part[k])]
         lists = []
         for k in near:
-            word = tuple(codes[start[k] : end[k]].tolist())
-            if word not in cache:
+            word, own = codes[start[k] : end[k]], ids[piece_at[k] : piece_at[k + 1]].tolist()
+            if len(word) > LONG:
+                lists.append(n_best(v, word, n, own))
+                continue
+            name = word.tobytes()
+            if name not in cache:
                 if len(cache) > 100_000:
                     cache.clear()
-                cache[word] = n_best(v, list(word), n)
-            lists.append(cache[word])
+                cache[name] = n_best(v, word, n, own)
+            lists.append(cache[name])
         options = []
         for s, pick in merged(lists, score, n):
-            edits = sorted((int(piece_at[k] - piece_at[a]), int(piece_at[k + 1] - piece_at[k]), lists[x][pick[x]][1]) for x, k in enumerate(near) if pick[x])
+            edits = sorted(edit(int(piece_at[k] - piece_at[a]), lists[x][0][1], lists[x][pick[x]][1]) for x, k in enumerate(near) if pick[x])
             options.append((s, edits))
         found.append(options)
     return ids, piece_at[seg_at], found
