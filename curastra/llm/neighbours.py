@@ -3,9 +3,13 @@
 Vectors are dealt into shards of about SHARD_ROWS by hash. In a shard, vectors get one more component that makes all
 norms equal, so that the largest inner product is the least distance. Each batch of points searches the graph built so
 far greedily; the beam it ends with proposes neighbours, relaxed distance pruning (a neighbour goes if a closer one is
-ALPHA times nearer to it) keeps diverse edges, and reverse edges are pruned the same way. Every query is then searched
+ALPHA times nearer to it) keeps diverse edges, and reverse edges are pruned the same way; a ring through all rows keeps
+each of them in reach. Every query is then searched
 by beam in each shard, and the nearest of all shards are ranked by exact double-precision products.
 
+How wide a beam must be depends on the vectors: every shard measures the recall of its own graph against brute force on
+SAMPLE of its vectors and doubles the beam until it is RECALL.
+
 Equal vectors are indexed once. Their smallest ids, as many as a result can hold, come back when results are ranked, so
 a third of all rows may be one vector.
 """
@@ -29,6 +33,9 @@ BUILD_BEAM = 96
 BEAM = 128
 ALPHA = 1.15
 PASSES = 1
+SAMPLE = 64
+#: Least share of the true nearest of a shard that its searches must find on the sample.
+RECALL = 0.95
 _BATCH = 256
 _WIDTH = 4
 _ENTRIES = 16
@@ -55,11 +62,32 @@ class Graph:
             order = rng.permutation(n)
             for i in range(0, n, _BATCH):
                 self._insert(order[i : i + _BATCH], beam)
+        # one ring through all rows, so that no row is out of reach however edges were pruned
+        ring = rng.permutation(n)
+        after = np.empty((n, 1), dtype=np.int32)
+        after[ring, 0] = np.roll(ring, -1)
+        self.edges = np.concatenate([self.edges, after], axis=1)
+
+    def enough(self, k: int, beam: int, recall: float = RECALL) -> int:
+        """The beam, doubled until the k nearest of SAMPLE rows are found to this share; at most all rows."""
+        n = len(self.x)
+        k = min(k, n)
+        rows = np.random.default_rng(n).permutation(n)[:SAMPLE]
+        q = np.concatenate([self.x[rows, :-1], np.zeros((len(rows), 1), np.float32)], axis=1)
+        exact = q @ self.x.T
+        least = np.partition(exact, n - k, axis=1)[:, n - k] - 1e-5 * np.abs(exact).max(axis=1)
+        while beam < n:
+            _, score = self.search(q, max(beam, k))
+            if (score[:, :k] >= least[:, None]).mean() >= recall:
+                return beam
+            beam *= 2
+        return n
 
     def search(self, q: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """The beam of each query: rows (-1: none) and products, best first."""
+        """The beam of each query: rows (-1: none) and products, best first. A wider beam takes more of it in a step."""
         b, n = len(q), len(self.x)
         beam = min(beam, n)
+        step = max(_WIDTH, beam // 32)
         seen = np.zeros((b, n), dtype=bool)
         ids = np.full((b, beam), -1, dtype=np.int64)
         score = np.full((b, beam), -np.inf, dtype=np.float32)
@@ -79,7 +107,7 @@ class Graph:
             keep = np.argsort(-all_score, axis=1)[:, :beam]
             ids, score, done = (np.take_along_axis(x, keep, axis=1) for x in (all_ids, all_score, all_done))
             open_ = ~done
-            pick = open_ & (np.cumsum(open_, axis=1) <= _WIDTH)
+            pick = open_ & (np.cumsum(open_, axis=1) <= step)
             query, col = np.nonzero(pick)
             done[pick] = True
             if not len(query):
@@ -156,7 +184,7 @@ def _vectors(column: pa.Array) -> np.ndarray:
 def _shards(k: int, beam: int):
     """Rows (shard, asks, id, vector) sorted by shard and asks: a shard's vectors, then all queries."""
 
-    def answer(graph: Graph, ids: np.ndarray, full: np.ndarray, shard: int, qid: np.ndarray, q: np.ndarray) -> pa.RecordBatch:
+    def answer(graph: Graph, beam: int, ids: np.ndarray, full: np.ndarray, qid: np.ndarray, q: np.ndarray) -> pa.RecordBatch:
         rows, _ = graph.search(np.concatenate([q, np.zeros((len(q), 1))], axis=1).astype(np.float32), max(beam, k))
         rows = rows[:, : 2 * k]
         score = np.einsum("bcd,bd->bc", full[rows], q)
@@ -183,8 +211,10 @@ def _shards(k: int, beam: int):
                         order = np.argsort(own)
                         own, full = own[order], np.concatenate(vectors)[order]
                         graph = Graph(full.astype(np.float32), seed=int(shard) + 1)
-                    for c in range(a, b, _BATCH):
-                        yield answer(graph, own, full, int(shard), i[c : min(b, c + _BATCH)], v[c : min(b, c + _BATCH)])
+                        wide = graph.enough(k, beam)
+                        size = max(1, _BATCH * BEAM // max(wide, BEAM))  # memory of a batch doesn't grow with the beam
+                    for c in range(a, b, size):
+                        yield answer(graph, wide, own, full, i[c : min(b, c + size)], v[c : min(b, c + size)])
 
     return run
 
