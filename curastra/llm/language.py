@@ -1,7 +1,7 @@
 """Language identification: sparse multinomial logistic regression on TF-IDF of character n-grams.
 
 N-grams of one to three lower-cased characters are hashed to DIMS places. Document frequencies come from all training
-documents, summed by partition into vectors of fixed size. Follow-the-regularised-leader with elastic-net penalties
+documents, summed by partition into vectors of fixed size and added in a tree. Follow-the-regularised-leader with elastic-net penalties
 fits the weights in one task on at most MAX_TRAIN documents, drawn by hash and in equal parts by language; a fifth of
 them sets the temperature of the softmax instead.
 """
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, crc_mod, string_columns, table
+from .common import crc_mod, string_columns, summed, table
 from .textkernel import blocks
 
 DIMS = 1 << 16
@@ -26,7 +26,8 @@ ORDERS = (1, 2, 3)
 MAX_TRAIN = 4000
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 1e-4, 1e-5
-SLOTS = 8
+#: Most languages; counts and weights of each are held by the driver.
+MAX_LANGS = 1000
 UNKNOWN = "und"
 
 _FOLD = np.arange(0x250, dtype=np.uint32)
@@ -67,26 +68,15 @@ def _values(at: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    df, slot, n = np.zeros(DIMS + 1, dtype=np.int64), None, 0
+    df = None
     for batch in batches:
-        for i, j, data, at in blocks(batch.column(1)):
+        for _, _, data, at in blocks(batch.column(0)):
+            df = np.zeros(DIMS + 1, dtype=np.int64) if df is None else df
             for g in grams(data, at):
                 df[np.unique(g) if len(g) < 512 else np.flatnonzero(np.bincount(g, minlength=DIMS))] += 1
-                n += 1
-            slot = int(batch.column(0)[i].as_py() or 0) if slot is None else slot
-    if slot is not None:
-        df[-1] = n
-        yield pa.RecordBatch.from_arrays([pa.array([slot % SLOTS], pa.int64()), pa.array([df.tobytes()], pa.binary())], names=["slot", "sums"])
-
-
-def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = None
-    for batch in batches:
-        for x in batch.column(1):
-            part = np.frombuffer(x.as_py(), dtype=np.int64)
-            total = part.copy() if total is None else total + part
-    if total is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["slot", "sums"])
+            df[-1] += len(at) - 1
+    if df is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([df.tobytes()], pa.binary())], names=["sums"])
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,13 +168,15 @@ def fit(docs: DataFrame) -> Model | None:
     sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     if not sizes:
         return None
+    if len(sizes) > MAX_LANGS:
+        raise ValueError(f"{len(sizes)} languages; this classifier takes {MAX_LANGS} at most")
     langs = sorted(sizes)
     quota = max(1, MAX_TRAIN // len(langs))
-    slots = known.select("doc_id", "text").mapInArrow(_frequencies, "slot long, sums binary").repartition(SLOTS, "slot").mapInArrow(_added, "slot long, sums binary").collect()
-    df = sum(np.frombuffer(r["sums"], dtype=np.int64) for r in slots)
+    df = summed(known.select("text").mapInArrow(_frequencies, "sums binary"), np.int64)
     drawn = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 20))
     share = F.coalesce(*[F.when(F.col("lang") == k, F.lit(int(min(1.0, quota / n) * (1 << 20)))) for k, n in sizes.items()])
-    rows = known.where(drawn < share).select("lang", "text").mapInArrow(_vectors, "lang string, at binary, tf binary")
+    # an id that is there many times counts once among the drawn ones, so that MAX_TRAIN bounds them
+    rows = known.where(drawn < share).groupBy("lang", "doc_id").agg(F.min("text").alias("text")).select("lang", "text").mapInArrow(_vectors, "lang string, at binary, tf binary")
     return pickle.loads(rows.repartition(1).mapInArrow(_train(df, langs), "model binary").first()["model"])
 
 

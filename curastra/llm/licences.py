@@ -264,6 +264,4 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(table(spark, sf_dir, "documents")).drop("permissive")
-
-
+    return scan(table(spark, sf_dir, "documents"))

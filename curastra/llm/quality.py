@@ -1,8 +1,8 @@
 """Quality classifier: a Gaussian kernel over document statistics, by random Fourier features.
 
 Every text becomes a row of statistics. Labelled rows are mapped to FEATURES random cosines, and each partition sums its
-share of the normal equations; the sums of all partitions meet in a few slots of fixed size, whatever the input. Ridge
-regression on them gives raw scores. Isotonic regression, on labelled rows that the ridge has not seen and binned to a
+share of the normal equations; the sums of all partitions, of fixed size, are added in a tree. Ridge regression on them
+gives raw scores. Isotonic regression, on labelled rows that the ridge has not seen and binned to a
 fixed grid, turns raw scores into chances.
 """
 
@@ -16,14 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, crc_mod, string_columns, table
+from .common import Scratch, crc_mod, string_columns, summed, table
 from .rules import _counted, _twice, measure_block
 from .textkernel import blocks, mix, split_words
 
 FEATURES = 256
 RIDGE = 1e-3
 GRID = 512
-SLOTS = 8
 ACCEPT = 0.3
 _SEED = 20240301
 
@@ -100,33 +99,22 @@ class Kernel:
 
 
 def _sums(kernel: Kernel):
-    """One row per partition: its part of Z'Z and Z'y, in a slot drawn by its first id."""
+    """One row per partition: its part of Z'Z and Z'y."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, slot = np.zeros((FEATURES + 1, FEATURES + 2)), None
+        total = None
         for batch in batches:
             for i in range(0, batch.num_rows, 4096):
                 part = batch.slice(i, 4096)
-                z, y = kernel(_matrix(part.column(1))), part.column(2).to_numpy(zero_copy_only=False)
-                total[:, :-1] += z.T @ z
-                total[:, -1] += z.T @ y
-                slot = int(part.column(0)[0].as_py() or 0) if slot is None else slot
-        if slot is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([slot % SLOTS], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["slot", "sums"])
+                z, y = kernel(_matrix(part.column(0))), part.column(1).to_numpy(zero_copy_only=False)
+                both = z.T @ np.column_stack([z, y])
+                total = both if total is None else total + both
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
 
     return run
 
 
-def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = None
-    for batch in batches:
-        for x in batch.column(1):
-            part = np.frombuffer(x.as_py())
-            total = part.copy() if total is None else total + part
-    if total is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["slot", "sums"])
-
-
 def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pool-adjacent-violators over sorted x: the weighted mean x and level of each block, levels rising."""
     blocks_: list[list[float]] = []
@@ -174,11 +162,11 @@ def fit(stats: DataFrame, labels: DataFrame, label_col: str = "quality") -> Mode
     if moments[0][0] is None:
         return None
     kernel = Kernel.over(np.array([m[0] for m in moments]), np.array([m[1] for m in moments]))
-    parts = rows.where("fold > 1").select("doc_id", "x", "y").mapInArrow(_sums(kernel), "slot long, sums binary")
-    slots = parts.repartition(SLOTS, "slot").mapInArrow(_added, "slot long, sums binary").collect()
-    if not slots:  # every labelled row is in the calibration fold
-        slots = rows.select("doc_id", "x", "y").mapInArrow(_sums(kernel), "slot long, sums binary").repartition(SLOTS, "slot").mapInArrow(_added, "slot long, sums binary").collect()
-    total = sum(np.frombuffer(r["sums"]) for r in slots).reshape(FEATURES + 1, FEATURES + 2)
+    added = lambda part: summed(part.select("x", "y").mapInArrow(_sums(kernel), "sums binary"), np.float64)
+    total = added(rows.where("fold > 1"))
+    if total is None:  # every labelled row is in the calibration fold
+        total = added(rows)
+    total = total.reshape(FEATURES + 1, FEATURES + 2)
     n = max(total[-1, -2], 1.0)
     penalty = np.eye(FEATURES + 1) * RIDGE * n
     penalty[-1, -1] = 1e-9
