@@ -19,8 +19,8 @@ from .common import BROADCAST_ROWS, Scratch, table
 from .textkernel import LOWER, Words, blocks, mix, sequence_hashes, span_hashes, split_words
 
 WINDOW = 5
+#: A line is common if more documents of a host have it; the limit is the same for hosts of every size.
 MIN_DOCS = 20
-HOST_SHARE = 0.05
 MIN_WORDS = 10
 MIN_LEFT = 0.3
 _SYMBOL = np.zeros(256, dtype=bool)
@@ -105,26 +105,21 @@ def _with_lines(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> D
     return picked.mapInArrow(_measure, "doc_id long, host string, " + ", ".join(f"{c} long" for c in _COUNTS) + ", lines array<struct<h:long,w:long>>")
 
 
-def common_lines(measured: DataFrame, min_docs: int = MIN_DOCS, host_share: float = HOST_SHARE) -> DataFrame:
-    """(host, h, owner): lines in more than min_docs documents of a host and more than this share of its documents."""
-    hosts = measured.groupBy("host").agg(F.count("*").alias("docs"))
+def common_lines(measured: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(host, h, owner): lines in more than min_docs documents of a host, and the first of these."""
     seen = measured.select("host", "doc_id", F.explode("lines.h").alias("h")).distinct()
-    counted = seen.groupBy("host", "h").agg(F.count("*").alias("n"), F.min("doc_id").alias("owner")).where(F.col("n") > min_docs)
-    return counted.join(hosts, "host").where(F.col("n") > host_share * F.col("docs")).select("host", "h", "owner")
+    return seen.groupBy("host", "h").agg(F.count("*").alias("n"), F.min("doc_id").alias("owner")).where(F.col("n") > min_docs).select("host", "h", "owner")
 
 
-def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """doc_id, counts, base_failed, n_lost_words and kept of every row.
-
-    kept is false if base_failed (under 10 words, or over 20 % of the words in five-word windows that recur), or if the
-    lines that many documents of the host share leave less than MIN_WORDS words or MIN_LEFT of them. A null text has
-    no words and fails; a null host is a host of its own; rows with one doc_id are one document when lines are
-    counted; other columns are not read; an empty table gives an empty result.
-    """
+def _measured(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with their counts and lines, and the common lines; both are tables."""
     scratch = Scratch(docs.sparkSession)
     measured = scratch.cut(_with_lines(docs, id_col, text_col, host_col))
     common = scratch.cut(common_lines(measured))
-    common = F.broadcast(common) if common.count() <= BROADCAST_ROWS else common
+    return measured, F.broadcast(common) if common.count() <= BROADCAST_ROWS else common
+
+
+def _judged(measured: DataFrame, common: DataFrame) -> DataFrame:
     rows = measured.select("host", "doc_id", F.explode("lines").alias("x")).select("host", "doc_id", F.col("x.h").alias("h"), F.col("x.w").alias("w"))
     lost = rows.join(common, ["host", "h"]).where(~F.col("doc_id").eqNullSafe(F.col("owner")))
     lost = lost.groupBy("host", "doc_id").agg(F.sum("w").alias("lost_words"))
@@ -135,34 +130,52 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     left = F.col("n_words") - F.col("n_lost_words")
     kept = ~failed & (left >= MIN_WORDS) & (left >= MIN_LEFT * F.col("n_words"))
-    return out.select("doc_id", *_COUNTS, failed.alias("base_failed"), "n_lost_words", kept.alias("kept"))
+    return out.select("host", "doc_id", *_COUNTS, failed.alias("base_failed"), "n_lost_words", kept.alias("kept"))
+
+
+def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
+    """doc_id, counts, base_failed, n_lost_words and kept of every row.
+
+    kept is false if base_failed (under 10 words, or over 20 % of the words in five-word windows that recur), or if the
+    lines that more than MIN_DOCS documents of the host share leave less than MIN_WORDS words or MIN_LEFT of them. A null
+    text has no words and fails; a null host is a host of its own; rows with one doc_id are one document when lines are
+    counted and lose the mean of their common words; rows without an id lose no lines; other columns are not read; an empty
+    table gives an empty result.
+    """
+    return _judged(*_measured(docs, id_col, text_col, host_col)).drop("host")
 
 
 def clean(docs: DataFrame, text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """The rows that ``judge`` keeps, without the lines that many documents of their host share."""
-    scratch = Scratch(docs.sparkSession)
-    measured = scratch.cut(_with_lines(docs, "doc_id", text_col, host_col))
-    common = scratch.cut(common_lines(measured))
-    common = F.broadcast(common) if common.count() <= BROADCAST_ROWS else common
+    """The rows that ``judge`` keeps, without the lines that many documents of their host share, but for the first of these.
+
+    An id with several texts stays if one of them is kept. Rows without an id lose no lines and stay if they don't fail.
+    """
+    measured, common = _measured(docs, "doc_id", text_col, host_col)
     rows = measured.select("host", "doc_id", F.explode("lines.h").alias("h")).join(common, ["host", "h"])
-    per_doc = rows.where("doc_id <> owner").groupBy("doc_id").agg(F.collect_set("h").alias("_lost_lines"))
-    verdict = judge(docs, "doc_id", text_col, host_col).where("kept").select("doc_id").distinct()
+    per_doc = rows.where("doc_id <> owner").groupBy("host", "doc_id").agg(F.collect_set("h").alias("_lost_lines"))
+    verdict = _judged(measured, common).where("kept").select(F.col("host").alias("_host"), F.col("doc_id").alias("_id")).distinct()
+    verdict = verdict.join(per_doc, (F.col("_host") == F.col("host")) & (F.col("_id") == F.col("doc_id")), "left").select("_host", "_id", "_lost_lines")
     names = docs.columns
-    left = docs.join(verdict, "doc_id", "left_semi").join(per_doc, "doc_id", "left").select(*names, "_lost_lines")
+    host = F.coalesce(docs[host_col].cast("string"), F.lit(""))
+    left = docs.join(verdict, (host == F.col("_host")) & docs["doc_id"].cast("long").eqNullSafe(F.col("_id"))).select(*[docs[c] for c in names], "_lost_lines")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = names.index(text_col)
         for batch in batches:
-            texts, lost = batch.column(k).to_pylist(), batch.column(len(names)).to_pylist()
-            for r, gone in enumerate(lost):
-                if gone and texts[r]:
-                    gone, kept = set(gone), []
-                    for line in texts[r].split("\n"):
-                        raw = np.frombuffer(line.encode(), dtype=np.uint8)
-                        _, t, h, _ = measure_block(raw, np.array([0, len(raw)]))
-                        if not len(h) or int(h[0]) not in gone:
-                            kept.append(line)
-                    texts[r] = "\n".join(kept)
+            lost = batch.column(len(names)).to_pylist()
+            texts = batch.column(k).to_pylist()
+            at = [r for r, gone in enumerate(lost) if gone and texts[r]]
+            if at:
+                lines = [x for r in at for x in texts[r].split("\n")]
+                owner = [r for r in at for _ in texts[r].split("\n")]
+                hashes = [int(h[0]) if len(h) else None for h in _line_hashes(lines)]
+                sets = {r: set(lost[r]) for r in at}
+                kept: dict[int, list[str]] = {r: [] for r in at}
+                for r, line, h in zip(owner, lines, hashes):
+                    if h is None or h not in sets[r]:
+                        kept[r].append(line)
+                for r in at:
+                    texts[r] = "\n".join(kept[r])
             cols = list(batch.columns)[: len(names)]
             cols[k] = pa.array(texts, cols[k].type)
             yield pa.RecordBatch.from_arrays(cols, names=names)
@@ -170,6 +183,13 @@ def clean(docs: DataFrame, text_col: str = "text", host_col: str = "source") ->
     return left.mapInArrow(run, docs.schema)
 
 
+def _line_hashes(lines: list[str]) -> Iterator[np.ndarray]:
+    """Of each line the hash of its normalised form, or nothing if it has no words."""
+    for i, j, data, at in blocks(pa.array(lines, pa.string())):
+        _, t, h, _ = measure_block(data, at)
+        yield from np.split(h, np.searchsorted(t, np.arange(1, j - i)))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents")).drop("n_lost_words")
 
@@ -185,8 +205,7 @@ windows AS (SELECT doc_id, unnest(range(1, len(ws) - 3)) AS i, unnest(list_trans
 again AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, w) > 1),
 covered AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS j FROM again) GROUP BY doc_id),
 normal AS (SELECT doc_id, host, array_to_string(lw, ' ') AS line, sum(len(lw)) AS w FROM full_lines GROUP BY ALL),
-hosts AS (SELECT host, count(*) AS docs FROM docs GROUP BY host),
-common AS (SELECT host, line, min(doc_id) AS owner FROM normal JOIN hosts USING (host) GROUP BY host, line, docs HAVING count(DISTINCT doc_id) > {MIN_DOCS} AND count(DISTINCT doc_id) > {HOST_SHARE} * docs),
+common AS (SELECT host, line, min(doc_id) AS owner FROM normal GROUP BY host, line HAVING count(DISTINCT doc_id) > {MIN_DOCS}),
 lost AS (SELECT doc_id, sum(w)::bigint AS n FROM normal JOIN common USING (host, line) WHERE doc_id <> owner GROUP BY doc_id),
 counts AS (SELECT doc_id, len(ws)::bigint AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::bigint AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint AS n_symbols,
   coalesce(dups.n, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words, coalesce(lost.n, 0) AS gone
