@@ -26,11 +26,12 @@ def boxed_last(c: Column | str) -> Column:
             # only braces matter, so the scan visits the runs between them, not every character
             lambda tail: let(
                 F.aggregate(F.regexp_extract_all(tail, F.lit(r"([{}]|[^{}]+)"), F.lit(1)), F.struct(F.lit(1).alias("depth"), F.lit(0).alias("size")), visit),
-                lambda end: F.when(F.contains(text, F.lit(BOX)) & (end["depth"] == 0), strip(F.substring(tail, F.lit(1), end["size"]))),
+                lambda end: F.when(end["depth"] == 0, strip(F.substring(tail, F.lit(1), end["size"]))),
             ),
         )
 
-    return let(col(c), payload)
+    # a text without a box never enters the scan
+    return F.when(F.contains(col(c), F.lit(BOX)), let(col(c), payload))
 
 
 def boxed_flat_first(c: Column | str) -> Column:

@@ -39,8 +39,9 @@ def pack_rl(trials: DataFrame, model: str = "unknown") -> DataFrame:
 
 
 def pack_sft(trials: DataFrame, model: str = "unknown") -> DataFrame:
-    """The first accepted trial of each prompt."""
-    return keep_first(pack_rl(trials, model), ["prompt_id"], ["trial"])
+    """The first accepted trial of each prompt, by the number at the end of its name."""
+    number = F.regexp_extract("trial", r"(\d+)$", 1).try_cast("long")
+    return keep_first(pack_rl(trials, model), ["prompt_id"], [number, "trial"])
 
 
 def pack_rejected(trials: DataFrame) -> DataFrame:

@@ -21,12 +21,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..shipping import importable
+from .scratch import cut
 
 
 class Provider:
     """Answers a prompt, or None if it can't."""
 
     workers = 1
+    #: Replies that cost money or time are checkpointed, so that neither a further action nor a lost executor asks again.
+    keep = True
 
     def reply(self, prompt: str, model: str) -> str | None:
         raise NotImplementedError
@@ -36,6 +39,7 @@ class Provider:
 class Offline(Provider):
     """A reply made from the prompt's hash; ``missing`` of a thousand prompts get none."""
 
+    keep = False
     missing: int = 0
 
     def reply(self, prompt: str, model: str) -> str | None:
@@ -47,6 +51,8 @@ class Offline(Provider):
 class Echo(Provider):
     """The prompt itself, for plans whose model step should change nothing."""
 
+    keep = False
+
     def reply(self, prompt: str, model: str) -> str | None:
         return prompt
 
@@ -121,7 +127,8 @@ def complete(df: DataFrame, provider: Provider, prompt: str, to: str, model: str
                 said = list(pool.map(lambda x: provider.reply(x[0] or "", x[1] or ""), asked))
                 yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(said, pa.string())], names=[*names, to])
 
-    return rows.mapInArrow(run, StructType([*df.schema.fields, StructField(to, StringType())]))
+    said = rows.mapInArrow(run, StructType([*df.schema.fields, StructField(to, StringType())]))
+    return cut(said) if provider.keep else said
 
 
 def trials(df: DataFrame, k: int) -> DataFrame:

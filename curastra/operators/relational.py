@@ -36,11 +36,13 @@ def where_computed(df: DataFrame, condition: Column) -> DataFrame:
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
-    """The first row of each key. Only the row's own columns are kept; equal order values are settled by the engine.
+    """The first row of each key. Only the row's own columns are kept; among equal order values the least hash of the row wins.
 
-    ``min_by`` on a struct of the row sums before the shuffle, so that a hot key is one row per task.
+    ``min_by`` on a struct of the row sums before the shuffle, so that a hot key is one row per task. Columns that hold maps
+    take no part in the hash.
     """
-    least = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order])
+    hashed = [F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString()]
+    least = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order], F.xxhash64(*hashed))
     picked = df.groupBy(*keys).agg(F.min_by(F.struct(*df.columns), least).alias("_row"))
     return picked.select("_row.*")
 
@@ -89,7 +91,7 @@ def question_lookup(rows: DataFrame, lookup: DataFrame, key: str = "index") -> D
 def with_config(df: DataFrame, config: DataFrame, key: str, value: str, default: str) -> DataFrame:
     """``value`` of a small config table by ``key``, else the default."""
     side = config.select(key, F.col(value).alias("_v"))
-    return df.join(F.broadcast(side), key, "left").withColumn(value, F.coalesce("_v", F.lit(default))).drop("_v")
+    return df.join(_small(side), key, "left").withColumn(value, F.coalesce("_v", F.lit(default))).drop("_v")
 
 
 def deficit(topics: DataFrame, levels: DataFrame, existing: DataFrame, target: int) -> DataFrame:
@@ -141,7 +143,14 @@ def numbered(df: DataFrame, order: list[str | Column], name: str = "rn", parts:
 
 
 def running_index(df: DataFrame, by: str, order: str, name: str = "index") -> DataFrame:
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(by).orderBy(order)))
+    """Rows numbered from 1 within each value of ``by``, in order.
+
+    The whole table is numbered by (by, order) over ranges, and each group's first number is taken off: a hot group is
+    spread over many tasks.
+    """
+    rows = numbered(df, [by, order], "_rn")
+    first = rows.groupBy(F.col(by).alias("_by")).agg(F.min("_rn").alias("_first"))
+    return rows.join(_small(first), F.col(by).eqNullSafe(F.col("_by"))).withColumn(name, (F.col("_rn") - F.col("_first") + 1).cast("int")).drop("_rn", "_by", "_first")
 
 
 def contiguous_chunk(df: DataFrame, order: list[str], chunks: int, chunk: int | None = None) -> DataFrame:

@@ -6,8 +6,10 @@ is removed afterwards; results travel in columns only.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import shutil
+import signal
 import subprocess
 import sys
 import tempfile
@@ -37,7 +39,7 @@ def _limits() -> None:
     resource.setrlimit(resource.RLIMIT_AS, (MEMORY_MB << 20, MEMORY_MB << 20))
     resource.setrlimit(resource.RLIMIT_FSIZE, (1 << 20, 1 << 20))
     resource.setrlimit(resource.RLIMIT_CORE, (0, 0))
-    os.setsid()
+    os.setsid()  # a group of its own, that can be ended whole
 
 
 def _run(files: dict[str, str], stdin: str, seconds: float) -> tuple[int | None, str]:
@@ -47,10 +49,18 @@ def _run(files: dict[str, str], stdin: str, seconds: float) -> tuple[int | None,
         for name, text in files.items():
             with open(os.path.join(folder, name), "w", encoding="utf-8") as f:
                 f.write(text)
-        done = subprocess.run([sys.executable, "-B", "main.py"], input=stdin, capture_output=True, text=True, timeout=seconds, cwd=folder, env={"PATH": "/usr/bin:/bin"}, preexec_fn=_limits, check=False)
-        return done.returncode, done.stdout if done.returncode == 0 else (done.stdout + done.stderr)
-    except subprocess.TimeoutExpired:
-        return None, ""
+        pipe = subprocess.PIPE
+        child = subprocess.Popen([sys.executable, "-B", "main.py"], stdin=pipe, stdout=pipe, stderr=pipe, text=True, cwd=folder, env={"PATH": "/usr/bin:/bin"}, preexec_fn=_limits)
+        try:
+            out, err = child.communicate(stdin, timeout=seconds)
+            return child.returncode, out if child.returncode == 0 else out + err
+        except subprocess.TimeoutExpired:
+            return None, ""
+        finally:
+            # the child leads a session of its own: what it started goes with it
+            with contextlib.suppress(ProcessLookupError):
+                os.killpg(child.pid, signal.SIGKILL)
+            child.wait()
     except (OSError, UnicodeError, ValueError) as e:
         return -1, str(e)
     finally:
@@ -81,7 +91,8 @@ def observed_outputs(df: DataFrame, solution: str = "solution_code", inputs: str
 
 
 def run_tests(df: DataFrame, solution: str = "solution_code", tests: str = "test_code", seconds: float = 30.0, enabled: bool = False) -> DataFrame:
-    """The rows with ``result`` (Pass, Fail, or Blocked where nothing ran) and ``log``."""
+    """The rows with ``result`` and ``log``: Pass, Fail (also out of time), Error where it could not be started, Blocked where the scan
+    or the setting forbids it."""
     importable(df.sparkSession)
     rows = df.withColumn("_go", F.lit(enabled) & code.safe(solution))
     names = df.columns
@@ -91,7 +102,7 @@ def run_tests(df: DataFrame, solution: str = "solution_code", tests: str = "test
             results, logs = [], []
             for go, source, test in zip(batch.column("_go").to_pylist(), batch.column(solution).to_pylist(), batch.column(tests).to_pylist()):
                 status, log = _run({"solution.py": source or "", "test_solution.py": test or "", "main.py": _TESTS}, "", seconds) if go else (None, "")
-                results.append("Blocked" if not go else "Pass" if status == 0 else "Fail")
+                results.append("Blocked" if not go else "Pass" if status == 0 else "Error" if status == -1 else "Fail")
                 logs.append(log)
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(results, pa.string()), pa.array(logs, pa.string())], names=[*names, "result", "log"])
 

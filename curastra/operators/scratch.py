@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Uses the session's spark.checkpoint.dir; a folder of our own only where none is set (a local test)."""
+    """Uses the session's spark.checkpoint.dir; a folder of our own only where a local session has none."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="curastra-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="curastra-"))
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import answers, difficulty, problems, prompts, thinking
 from ..functions.text import first_filled, sanitize_question, word_count
 from ..operators import providers
-from ..operators.relational import drop_unchanged, reject_wrong, union_all, where_computed
+from ..operators.relational import _small, drop_unchanged, reject_wrong, union_all, where_computed
 from ..operators.scratch import cut
 
 # Fixed values of the final record.
@@ -97,7 +97,7 @@ def final_record(tagged: DataFrame, model: str = "unknown", models: DataFrame |
     """The 20 columns of the published record, with snake-case names; ``published`` gives them their long ones."""
     rows = tagged
     if models is not None:
-        rows = rows.join(F.broadcast(models.select("source", F.col("model_name").alias("_m"))), "source", "left")
+        rows = rows.join(_small(models.select("source", F.col("model_name").alias("_m"))), "source", "left")
     else:
         rows = rows.withColumn("_m", F.lit(None).cast("string"))
     question = sanitize_question("problem")

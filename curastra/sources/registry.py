@@ -53,10 +53,17 @@ def seeds(df: DataFrame, name: str, split: str, problem: Column, solution: Colum
     return out.orderBy("ord").limit(limit) if limit is not None else out
 
 
+# Labels of the collection's own sources.
+NUMINA_LABELS = {
+    "amc_aime": "number_theory", "aops_forum": "algebra", "cn_k12": "algebra", "gsm8k": "pre_algebra", "math": "intermediate_algebra",
+    "olympiads": "algebra", "orca_math": "pre_algebra", "synthetic_amc": "number_theory", "synthetic_math": "intermediate_algebra",
+}
+
+
 @source("numina")
-def numina(df: DataFrame, split: str = "train", limit: int | None = None, labels: dict[str, str] | None = None) -> DataFrame:
+def numina(df: DataFrame, split: str = "train", limit: int | None = None, labels: dict[str, str] = NUMINA_LABELS) -> DataFrame:
     """Answer is the last boxed payload of the solution; the label falls back to one of the row's own source."""
-    default = domains.by_map("source", labels or {}, "algebra") if "source" in df.columns else F.lit("algebra")
+    default = domains.by_map("source", labels, "algebra") if "source" in df.columns else F.lit("algebra")
     return seeds(df, "numina", split, strip("problem"), strip("solution"), answers.boxed_last("solution"), domains.by_keywords("problem", "numina", default), limit)
 
 
@@ -196,7 +203,9 @@ def detect_text_field(df: DataFrame, dataset: str = "", sample: int = 5) -> str
     names = [n for n, t in df.dtypes if t == "string"]
     if not names:
         return None
-    sizes = df.limit(sample).agg(*[F.max(F.when(~is_model_output(f"`{n}`"), F.length(F.col(f"`{n}`")))).alias(n) for n in names]).first()
+    # the first rows by "ord", or by a hash where there is no order: the same ones every time
+    first = df.orderBy("ord" if "ord" in df.columns else F.xxhash64(*[F.col(f"`{n}`") for n in names])).limit(sample)
+    sizes = first.agg(*[F.max(F.when(~is_model_output(f"`{n}`"), F.length(F.col(f"`{n}`")))).alias(n) for n in names]).first()
     best = max(names, key=lambda n: (sizes[n] or 0, -names.index(n)))
     return best if sizes[best] else None
 

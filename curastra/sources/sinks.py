@@ -38,7 +38,7 @@ def append_jsonl(df: DataFrame, path: str, key: str, order: str) -> None:
 def dataset_name(df: DataFrame, model: str, order: str, now: datetime.datetime) -> str:
     """<top domain>_<model>_<sources>_<rows>_<time> from the data."""
     top = mode_first(df, "domain", order).first()
-    sources = "_".join(sorted(r[0] for r in df.select("source").distinct().limit(20).collect() if r[0]))
+    sources = "_".join(sorted(r[0] for r in df.select("source").distinct().orderBy("source").limit(20).collect() if r[0]))
     safe = lambda s: re.sub(r"[^A-Za-z0-9.-]+", "_", str(s))
     return f"{safe(top['domain'] if top else 'none')}_{safe(model)}_{safe(sources)}_{df.count()}_{now:%Y%m%d_%H%M%S}"
 

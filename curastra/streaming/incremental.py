@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators.relational import keep_first, resume
 from ..sources.sinks import exists
@@ -33,14 +33,22 @@ def windowed_counts(stream: DataFrame, time: str, by: list[str], width: str = "1
 
 
 def append_new_keys(stream: DataFrame, key: str, order: str, sink: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
-    """Append the first row of each new key to a Parquet sink; a batch that is run again appends nothing twice."""
+    """Append the first row of each new key to a Parquet sink, partitioned by ``batch_id``.
 
-    def write(batch: DataFrame, _: int) -> None:
+    A batch that is run again overwrites its own partition, so that neither half nor double appends remain. Known keys are
+    read from a table of their own (``<sink>_keys``: the key alone, by batch), not from the sink's rows.
+    """
+    known = f"{sink.rstrip('/')}_keys"
+
+    def write(batch: DataFrame, number: int) -> None:
         rows = transform(batch) if transform else batch
         rows = keep_first(rows.where(F.col(key).isNotNull()), [key], [order])
         spark = batch.sparkSession
-        if exists(spark, sink):
-            rows = resume(rows, spark.read.schema(rows.schema).parquet(sink), [key])
-        rows.write.mode("append").parquet(sink)
+        if exists(spark, known):
+            earlier = spark.read.schema(StructType([rows.schema[key], StructField("batch_id", LongType())])).parquet(known)
+            rows = resume(rows, earlier.where(F.col("batch_id") != number), [key])
+        rows.write.mode("overwrite").parquet(f"{sink}/batch_id={number}")
+        done = spark.read.schema(rows.schema).parquet(f"{sink}/batch_id={number}")
+        done.select(key).write.mode("overwrite").parquet(f"{known}/batch_id={number}")
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
