@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import answers, code, difficulty, domains, problems, text, thinking
-from ..operators import packing, relational as rel, semantic
+from ..operators import packing, relational as rel, sandbox, semantic
+from ..operators.scratch import ensure_checkpoint_dir
 from ..plans import evaluation, mathematics
 from ..session import spread
-from ..sources import registry
+from ..sources import registry, sinks
+from ..streaming import incremental
 from .adapters import adapter, oracle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -236,8 +239,8 @@ def think_split(spark, sf_dir):
 ORACLES["think_split"] = oracle("SELECT ord, reasoning, after FROM parts", "generations").replace(" SELECT ord, reasoning, after FROM parts", f", {_SPLIT} SELECT ord, reasoning, after FROM parts")
 
 
-def _with_parts(body: str) -> str:
-    return oracle("@", "generations").replace(" @", f", {_SPLIT}, answered AS (SELECT *, {_CASCADE} AS answer FROM (SELECT *, CASE WHEN tag IS NULL THEN generation ELSE reasoning END AS why FROM parts)), "
+def _after_split(body: str) -> str:
+    return (f", {_SPLIT}, answered AS (SELECT *, {_CASCADE} AS answer FROM (SELECT *, CASE WHEN tag IS NULL THEN generation ELSE reasoning END AS why FROM parts)), "
         f"judged AS (SELECT *, {_EXPECTED.format('expected_answer')} AS expected FROM answered), "
         "results AS (SELECT *, CASE WHEN coalesce(answer, '') = '' OR coalesce(expected_answer, '') = '' THEN 'unknown' "
         "WHEN regexp_matches(replace(answer, ',', ''), '^[+-]?\\d+(\\.\\d+)?$') AND regexp_matches(replace(expected, ',', ''), '^[+-]?\\d+(\\.\\d+)?$') "
@@ -245,6 +248,10 @@ def _with_parts(body: str) -> str:
         f"WHEN trim(answer) = trim(expected) THEN 'pass' ELSE 'unknown' END AS verification, {_LEVEL.replace('(t,', '(lower(problem),').replace('(t)', '(lower(problem))').replace('coalesce(t,', 'coalesce(lower(problem),')} AS difficulty FROM judged) {body}")
 
 
+def _with_parts(body: str) -> str:
+    return oracle("@", "generations").replace(" @", _after_split(body))
+
+
 def _results(spark, sf_dir):
     return evaluation.results(adapter(spark, sf_dir, "generations"))
 
@@ -285,11 +292,12 @@ def best_model(spark, sf_dir):
 
 
 _COUNTS = "count(*) FILTER (verification = 'pass') AS pass, count(*) FILTER (verification = 'fail') AS fail, count(*) FILTER (verification = 'unknown') AS unknown"
+_SUMMARY = f"SELECT model_used AS model, source AS dataset, count(*) AS total, {_COUNTS}, round(100.0::double * count(*) FILTER (verification = 'pass') / count(*), 1) AS pass_pct FROM results GROUP BY ALL"
 ORACLES |= {
     "eval_answer_cascade": _with_parts("SELECT ord, answer FROM results"),
     "eval_verify": _with_parts("SELECT ord, answer, CASE WHEN coalesce(expected_answer, '') <> '' THEN expected END AS ground_truth, verification, difficulty FROM results"),
     "eval_response": _with_parts("SELECT ord, '<think>' || reasoning || '</think>' || chr(10) || answer AS response FROM results"),
-    "model_summary": _with_parts(f"SELECT model_used AS model, source AS dataset, count(*) AS total, {_COUNTS}, round(100.0::double * count(*) FILTER (verification = 'pass') / count(*), 1) AS pass_pct FROM results GROUP BY ALL"),
+    "model_summary": _with_parts(_SUMMARY),
     "difficulty_breakdown": _with_parts("SELECT model_used AS model, source AS dataset, difficulty AS level, count(*) AS n FROM results GROUP BY ALL"),
     "model_compare": _with_parts(
         f"SELECT model_used AS model, count(*) AS generated, {_COUNTS}, count(*) AS has_think, (sum(length('<think>' || reasoning || '</think>' || chr(10) || answer)) // count(*))::bigint AS avg_length, "
@@ -428,7 +436,8 @@ ORACLES["mutation_clean"] = ORACLES["mutation_clean"].replace("THEN '' ELSE c EN
 
 @query("math_final_record")
 def math_final_record(spark, sf_dir):
-    """The whole curation plan on offline providers: converted, traced, verified, rejected, tagged, filtered."""
+    """The curation plan without a teacher: converted, traced from the seeds' own solutions (the fallback path), verified,
+    wrong ones rejected, tagged, made records, filtered. ``teacher_answers`` and ``evolve_chained`` cover the other steps."""
     return mathematics.run(adapter(spark, sf_dir, "math_seeds"))
 
 
@@ -879,3 +888,184 @@ def teacher_answers(spark, sf_dir):
     """Final answers of teacher responses, in the meant and the strict reading of the patterns."""
     rows = adapter(spark, sf_dir, "generations")
     return rows.select("ord", answers.teacher_answer("generation").alias("answer"), answers.teacher_answer("generation", strict=True).alias("answer_strict"))
+
+
+def _candidate_steps(source: str, *columns: tuple[str, str]) -> str:
+    """CTEs that clean candidate answers step by step: (column, its SQL) of ``source``; the last CTE is ``cleaned``."""
+    tagged = lambda c: f"CASE WHEN NOT regexp_matches(lower({c}), '</?think') THEN {c} END"
+    wrapped = lambda c, a, b: f"WHEN starts_with({c}, '{a}') AND ends_with({c}, '{b}') AND length({c}) > {len(a) + len(b)} THEN {_strip(f'substring({c}, {len(a) + 1}, length({c}) - {len(a) + len(b)})')}"
+    wraps = (("$$", "$$"), ("$", "$"), ("\\(", "\\)"), ("\\[", "\\]"))
+    steps = [
+        lambda c, sql: f"nullif(regexp_replace({_strip(sql)}, '^[` ]+|[` ]+$', '', 'g'), '')",
+        lambda c, _: tagged(c),
+        lambda c, _: f"coalesce(nullif({_box(c)}, ''), {c})",
+        lambda c, _: _strip(c),
+        lambda c, _: "CASE " + " ".join(wrapped(c, a, b) for a, b in wraps) + f" ELSE {c} END",
+        lambda c, _: _strip(f"regexp_replace(regexp_replace({c}, '[ .;,]+$', '', 'g'), '^\\$+|\\$+$', '', 'g')"),
+        lambda c, _: f"CASE {wrapped(c, '**', '**')} ELSE {c} END",
+        lambda c, _: f"nullif({_strip(c)}, '')",
+        lambda c, _: tagged(c),
+    ]
+    out, at = [], source
+    for k, step in enumerate(steps):
+        name = f"candidates{k}" if k + 1 < len(steps) else "cleaned"
+        made = ", ".join(f"{step(c, sql)} AS {c}" for c, sql in columns)
+        drop = "" if k == 0 else f" EXCLUDE ({', '.join(c for c, _ in columns)})"
+        out.append(f"{name} AS (SELECT *{drop}, {made} FROM {at})")
+        at = name
+    return ", ".join(out)
+
+
+_NUM = r"'^-?\d+(\.\d+)?$'"
+_FINAL_RECORD = (
+    f", opened AS (SELECT *, {_OPEN} AS open_problem, {_reference('solution')} AS ref FROM math_seeds), "
+    + _candidate_steps("opened", ("from_answer", "answer"), ("from_solution", "ref"))
+    + f", traced AS (SELECT *, coalesce(solution, '') AS trace, coalesce(from_answer, from_solution) AS extracted, {_normal('answer')} AS n_ref, {_normal('coalesce(from_answer, from_solution)')} AS n_pred FROM cleaned), "
+    "judged AS (SELECT *, CASE WHEN nullif(answer, '') IS NULL OR nullif(extracted, '') IS NULL THEN NULL WHEN n_ref = n_pred THEN true "
+    f"WHEN regexp_matches(n_ref, {_NUM}) AND regexp_matches(n_pred, {_NUM}) THEN abs(n_ref::double - n_pred::double) < 1e-6 END AS verified FROM traced), "
+    f"levels AS (SELECT *, regexp_matches(open_problem, '{difficulty.ADVANCED}') AS adv, regexp_matches(open_problem, '{difficulty.INTERMEDIATE}') AS mid, len({_lines('trace')}) AS steps, "
+    "CASE coalesce(domain, 'algebra') " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in difficulty.DOMAIN_BASE.items()) + " ELSE 1 END AS base FROM judged WHERE verified IS NOT FALSE), "
+    "raws AS (SELECT *, greatest(base, CASE WHEN adv THEN 3 WHEN mid THEN 2 ELSE 1 END) + CASE WHEN steps > 40 THEN 2 WHEN steps > 20 THEN 1 ELSE 0 END AS raw FROM levels), "
+    f"records AS (SELECT {_collapse('''replace(replace(replace(open_problem, '```', ' '), '### Instruction:', ' '), '### Response:', ' ')''')} AS problem, trace, coalesce(nullif(answer, ''), nullif(extracted, ''), '') AS answer, "
+    "CASE WHEN raw >= 4 AND NOT adv AND steps < 30 THEN 3 ELSE least(raw, 4) END AS level, domain, source, id, verified FROM raws) "
+    f"SELECT 'Reasoning' AS kind, '{mathematics.SYSTEM_PROMPT}' AS system_prompt, '{mathematics.INSTRUCTION}' AS instruction, problem AS question, trace AS think, answer, "
+    "CASE level " + " ".join(f"WHEN {k} THEN '{v.lower()}'" for k, v in difficulty.LEVEL_NAMES.items()) + " ELSE 'unknown' END AS difficulty_level, "
+    f"{len(mathematics.INSTRUCTION.split())}::int AS words_instruction, {len(mathematics.SYSTEM_PROMPT.split())}::int AS words_system, {_words('problem')}::int AS words_question, {_words('answer')}::int AS words_answer, 'QA' AS task, "
+    "domain, 'English' AS language, source, 'math_pipeline' AS made_by, 'reasoning' AS reasoning_sft, 'unknown' AS model, id AS sample_id, verified "
+    f"FROM records WHERE {_QUESTION} AND {_collapse('answer')} <> ''"
+)
+_RATING = "CASE WHEN d BETWEEN 2 AND 4 THEN d WHEN d <= 1000 THEN 1 WHEN d <= 1500 THEN 2 WHEN d <= 2000 THEN 3 ELSE 4 END"
+_VERDICT = f"CASE WHEN length(q) < 80 THEN 'reject' WHEN regexp_matches(lower(q), '{'|'.join(problems.NOT_CODE)}') THEN 'reject' WHEN {_any('lower(q)', problems.CONTEST_PHRASES)} THEN 'accept' WHEN NOT {_any('lower(q)', problems.CODE_WORDS)} THEN 'reject' ELSE 'ask' END"
+_OFFLINE = (
+    ", inputs AS (SELECT row_number() OVER (ORDER BY ord) - 1 AS index, problem, coalesce(nullif(answer, ''), nullif(solution, '')) AS expected_answer FROM math_seeds WHERE problem <> ''), "
+    "asked AS (SELECT *, ('0x' || substring(md5(model_used || '|' || problem), 1, 8))::bigint AS h FROM inputs CROSS JOIN (VALUES ('m1'), ('m2')) AS v(model_used) WHERE NOT (model_used = 'm1' AND index % 3 = 0)), "
+    "generations AS (SELECT index AS ord, model_used, 'seeds' AS source, problem, expected_answer, '<think>offline ' || (h % 97)::string || '</think>' || chr(10) || (h % 1000)::string AS generation FROM asked)"
+)
+ORACLES |= {
+    "math_final_record": oracle("@", "math_seeds").replace(" @", _FINAL_RECORD),
+    "prepared_seeds": oracle(
+        f"SELECT 'team_q' || lpad(i::string, greatest(4, length(i::string))::int, '0') || '_' || substring(md5(substring(q, 1, 100)), 1, 4) AS prompt_id, {_keywords('q', 'code', chr(39) + 'competitive_programming' + chr(39))} AS domain, ({_RATING})::int AS reasoning_level, 2 AS n_messages "
+        f"FROM (SELECT *, row_number() OVER (ORDER BY ord) AS i FROM (SELECT ord, ord % 3000 AS d, {_strip('question')} AS q FROM code_trials) WHERE {_VERDICT} <> 'reject')",
+        "code_trials",
+    ),
+    "offline_generation": oracle("@", "math_seeds").replace(" @", _OFFLINE + _after_split(_SUMMARY)),
+    "semantic_dedup": (
+        "WITH RECURSIVE v AS (SELECT vec_id, embedding::double[] AS e, sqrt(list_dot_product(embedding::double[], embedding::double[])) AS n FROM embeddings), "
+        "near AS (SELECT b.vec_id AS v, list(a.vec_id) AS earlier FROM v a JOIN v b ON a.vec_id < b.vec_id AND list_dot_product(a.e, b.e) / (a.n * b.n) > 0.35 GROUP BY b.vec_id), "
+        "steps AS (SELECT *, row_number() OVER (ORDER BY v) AS i FROM near), "
+        "walk AS (SELECT 0::bigint AS i, []::bigint[] AS gone UNION ALL SELECT s.i, CASE WHEN len(list_filter(s.earlier, lambda x: NOT list_contains(w.gone, x))) > 0 THEN list_append(w.gone, s.v) ELSE w.gone END FROM walk w JOIN steps s ON s.i = w.i + 1) "
+        "SELECT vec_id FROM embeddings WHERE NOT list_contains((SELECT arg_max(gone, i) FROM walk), vec_id)"
+    ),
+}
+
+
+# sinks, streams and the sandbox, written and read back
+
+
+def _folder(spark: SparkSession) -> str:
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/queries-{uuid.uuid4().hex}"
+
+
+@query("appended_jsonl", "SELECT id, ord, problem FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ord) AS rn FROM math_seeds) WHERE rn = 1", "math_seeds")
+def appended_jsonl(spark, sf_dir):
+    """Two overlapping batches appended to one JSON-lines sink; the second brings only new ids."""
+    rows, path = adapter(spark, sf_dir, "math_seeds").select("id", "ord", "problem"), _folder(spark)
+    sinks.append_jsonl(rows.where("ord % 2 = 0"), path, "id", "ord")
+    sinks.append_jsonl(rows, path, "id", "ord")
+    return registry.read_jsonl(spark, path, "id string, ord long, problem string")
+
+
+@query("appended_rows", "SELECT id, ord FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ord) AS rn FROM math_seeds WHERE ord % 3 > 0 AND id NOT IN (SELECT id FROM math_seeds WHERE ord % 3 = 0)) WHERE rn = 1", "math_seeds")
+def appended_rows(spark, sf_dir):
+    rows = adapter(spark, sf_dir, "math_seeds").select("id", "ord")
+    return rel.append_new(rows.where("ord % 3 = 0"), rows.where("ord % 3 > 0"), "id", "ord")
+
+
+@query("checkpointed_step", "SELECT id, ord, domain, problem FROM math_seeds", "math_seeds")
+def checkpointed_step(spark, sf_dir):
+    """A step's checkpoint, with two key fields and the rest as JSON, read back."""
+    folder = _folder(spark)
+    sinks.write_step(adapter(spark, sf_dir, "math_seeds").select("id", "ord", "domain", "problem"), folder, 2, "seeds", ["id", "ord"])
+    return sinks.read_step(spark, folder, 2, "domain string, problem string").select("id", "ord", "domain", "problem")
+
+
+@query("step_manifest", "SELECT 3 AS step, 'seeds' AS title, count(*) AS total FROM math_seeds", "math_seeds")
+def step_manifest(spark, sf_dir):
+    folder = _folder(spark)
+    sinks.write_step(adapter(spark, sf_dir, "math_seeds").select("id", "ord"), folder, 3, "seeds", ["id"])
+    return spark.read.schema("step int, title string, total long").json(f"{folder}/step3_manifest")
+
+
+@query("named_dataset", "SELECT source, domain, count(*) AS n, 1 AS n_named FROM math_seeds GROUP BY ALL", "math_seeds")
+def named_dataset(spark, sf_dir):
+    """A named dataset and the latest one; both are listed, the latest is read."""
+    folder = _folder(spark)
+    named = sinks.write_dataset(adapter(spark, sf_dir, "math_seeds").select("ord", "source", "domain"), folder, "teacher")
+    others = [d for d in sinks.datasets(spark, folder) if d.rpartition("/")[2] == named.rpartition("/")[2]]
+    latest = spark.read.parquet(f"{folder}/dataset_latest.parquet")
+    return latest.groupBy("source", "domain").agg(F.count("*").alias("n")).withColumn("n_named", F.lit(len(others)))
+
+
+@query("written_packs", "SELECT result AS bucket, prompt_id, count(*) AS n FROM code_trials GROUP BY ALL", "code_trials")
+def written_packs(spark, sf_dir):
+    folder = _folder(spark)
+    sinks.write_packs(adapter(spark, sf_dir, "code_trials").select(F.col("result").alias("bucket"), "prompt_id"), "bucket", folder)
+    return spark.read.schema("prompt_id string, bucket string").parquet(folder).groupBy("bucket", "prompt_id").agg(F.count("*").alias("n"))
+
+
+@query("written_csv", "SELECT source, count(*)::bigint AS n FROM math_seeds GROUP BY source", "math_seeds")
+def written_csv(spark, sf_dir):
+    path = _folder(spark)
+    sinks.write_csv(adapter(spark, sf_dir, "math_seeds").groupBy("source").agg(F.count("*").alias("n")), path)
+    return spark.read.schema("source string, n long").option("header", True).csv(path)
+
+
+@query("json_lines", "SELECT ord, domain FROM math_seeds WHERE ord % 4 > 1", "math_seeds")
+def json_lines(spark, sf_dir):
+    """JSON lines among blank and broken ones."""
+    path = _folder(spark)
+    line = F.when(F.col("ord") % 4 == 0, "").when(F.col("ord") % 4 == 1, F.concat(F.lit("{broken "), F.col("ord").cast("string"))).otherwise(F.to_json(F.struct("ord", "domain")))
+    adapter(spark, sf_dir, "math_seeds").select(line.alias("value")).write.text(path)
+    return registry.read_jsonl(spark, path, "ord long, domain string")
+
+
+@query("seed_questions", f"SELECT ord, {_strip('problem')} AS question FROM math_seeds WHERE length({_strip('problem')}) > 20", "math_seeds")
+def seed_questions(spark, sf_dir):
+    return registry.seed_questions(adapter(spark, sf_dir, "math_seeds"), "problem")
+
+
+@query("detected_text_field", "SELECT 'text' AS field")
+def detected_text_field(spark, sf_dir):
+    found = registry.detect_text_field(table(spark, sf_dir, "documents").select("doc_id", "lang", "text", "source"))
+    return spark.range(1).select(F.lit(found).alias("field"))
+
+
+@query("streamed_new_keys", "SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders GROUP BY o_custkey")
+def streamed_new_keys(spark, sf_dir):
+    """The first order of each customer: two streamed runs over a growing folder append it once."""
+    folder, orders = _folder(spark), table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
+    half = orders.agg(F.expr("percentile(o_orderkey, 0.5)").cast("long")).first()[0]
+    for part in (orders.where(F.col("o_orderkey") <= half), orders.where(F.col("o_orderkey") > half)):
+        part.write.mode("append").parquet(f"{folder}/in")
+        stream = incremental.read_stream(spark, f"{folder}/in", orders.schema)
+        incremental.append_new_keys(stream, "o_custkey", "o_orderkey", f"{folder}/out", f"{folder}/state").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("o_custkey", "o_orderkey")
+
+
+_PROGRAMS = "CASE r_regionkey % 4 WHEN 0 THEN 'def solve():' || chr(10) || '    print(int(input()) * 2)' WHEN 1 THEN 'def solve():' || chr(10) || '    print(int(input()) + 1)' WHEN 2 THEN 'import os' || chr(10) || 'def solve():' || chr(10) || '    os.system(input())' ELSE 'def solve():' || chr(10) || '    while True: pass' END"
+
+
+@query("sandbox_tests", "SELECT r_regionkey, CASE r_regionkey % 4 WHEN 0 THEN 'Pass' WHEN 2 THEN 'Blocked' ELSE 'Fail' END AS result FROM region")
+def sandbox_tests(spark, sf_dir):
+    """Fixed programs against a test of doubling: right, wrong, forbidden and endless."""
+    test = "import io, sys\nfrom solution import solve\ndef test_1():\n    sys.stdin, sys.stdout = io.StringIO('4'), io.StringIO()\n    solve()\n    said, sys.stdout = sys.stdout.getvalue(), sys.__stdout__\n    assert said.strip() == '8'\n"
+    rows = table(spark, sf_dir, "region").select("r_regionkey", F.expr(_PROGRAMS).alias("solution_code"), F.lit(test).alias("test_code"))
+    return sandbox.run_tests(rows, seconds=5.0, enabled=True).select("r_regionkey", "result")
+
+
+@query("sandbox_outputs", "SELECT r_regionkey, CASE r_regionkey % 4 WHEN 0 THEN '2,4,6' WHEN 1 THEN '2,3,4' END AS outputs FROM region")
+def sandbox_outputs(spark, sf_dir):
+    """What the same programs print for three inputs; null where they don't run through."""
+    rows = table(spark, sf_dir, "region").select("r_regionkey", F.expr(_PROGRAMS).alias("solution_code"), F.array(F.lit("1"), F.lit("2"), F.lit("3")).alias("inputs"))
+    return sandbox.observed_outputs(rows, seconds=2.0, enabled=True).select("r_regionkey", F.array_join("outputs", ",").alias("outputs"))
