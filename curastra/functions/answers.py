@@ -8,7 +8,25 @@ from pyspark.sql import functions as F
 from .text import col, collapse, extract, filled, filled_strip, full_lines, last_match, let, strip, words
 from .thinking import after_think, think_block
 
+# Patterns of answers.
 BOX = "\\boxed{"
+BOX_FLAT = r"\\boxed\{([^}]+)\}"
+ANSWER_LABEL = r"(?i)^\s*(final\s+answer|answer|ans)\s*[:\-]\s*"
+ANSWER_PHRASE = r"(?i)^\s*(the\s+)?(final\s+)?answer\s+is\s*[:\-]?\s*"
+IN_PARENTHESES = r"(?s)\\\((.*?)\\\)"
+IN_DOLLARS = r"(?s)\$(.+?)\$"
+SAYS_ANSWER = r"(?i)(?:final\s+answer|answer|ans)\s*(?:is|:|=)"
+HASHED_NUMBER = r"####\s*([\d,\.]+)"
+LAST_NUMBER = r"(-?\b\d+(?:\.\d+)?\b)"
+DOTTED_TAG = r"(?s)<\.\.\.>.*?</\.\.\.>"
+FIRST_NUMBER = r"\$?\s*(-?\d+(?:[.,]\d+)?(?:/\d+)?)"
+STATED_NUMBER = r"(?:[Ff]inal\s+[Aa]nswer|[Tt]he\s+answer\s+is)\s*[:\-=]?\s*\$?\s*(-?\d+(?:\.\d+)?(?:/\d+)?)"
+BOLD_NUMBER = r"\*\*\$?(-?[\d,]+\.?\d*)\*\*"
+EQUALS_NUMBER = r"=\s*\$?(-?[\d,]+\.?\d*)\s*(?:\.|$|\n)"
+FINAL_STRICT = r"(?i)(?:^|\\b)(?:final answer|answer|ans|答案|最終答案)\s*(?:is|:|=|是|為|：)?\s*(.+)$"
+FINAL = r"(?i)(?:^|\b)(?:final answer|answer|ans|答案|最終答案)\s*(?:is|:|=|是|為|：)?\s*(.+)$"
+PROSE = "therefore|because|explain|proof"
+AFTER_ANSWER = r"(?i)(?:final\s+)?answer[:\s]+([^\n.]+)"
 
 
 def boxed_last(c: Column | str) -> Column:
@@ -36,18 +54,18 @@ def boxed_last(c: Column | str) -> Column:
 
 def boxed_flat_first(c: Column | str) -> Column:
     """First \\boxed{...} up to the first closing brace."""
-    return extract(c, r"\\boxed\{([^}]+)\}")
+    return extract(c, BOX_FLAT)
 
 
 def boxed_flat_last(c: Column | str) -> Column:
-    return last_match(c, r"\\boxed\{([^}]+)\}")
+    return last_match(c, BOX_FLAT)
 
 
 def clean_answer(c: Column | str) -> Column:
     """Without back-ticks, answer prefixes and trailing dots."""
     s = strip(F.regexp_replace(strip(c), "^`+|`+$", ""))
-    s = F.regexp_replace(s, r"(?i)^\s*(final\s+answer|answer|ans)\s*[:\-]\s*", "")
-    s = F.regexp_replace(s, r"(?i)^\s*(the\s+)?(final\s+)?answer\s+is\s*[:\-]?\s*", "")
+    s = F.regexp_replace(s, ANSWER_LABEL, "")
+    s = F.regexp_replace(s, ANSWER_PHRASE, "")
     return strip(F.regexp_replace(strip(s), r"\.+$", ""))
 
 
@@ -55,8 +73,8 @@ def normalise_reference(c: Column | str) -> Column:
     """Last boxed payload, else last \\(...\\), else last $...$, else last full line; cleaned. Null or '' if blank."""
 
     def of(raw: Column) -> Column:
-        paren = filled(clean_answer(last_match(raw, r"(?s)\\\((.*?)\\\)")))
-        dollar = filled(clean_answer(last_match(raw, r"(?s)\$(.+?)\$")))
+        paren = filled(clean_answer(last_match(raw, IN_PARENTHESES)))
+        dollar = filled(clean_answer(last_match(raw, IN_DOLLARS)))
         line = filled(clean_answer(F.element_at(F.nullif(full_lines(raw), F.array().cast("array<string>")), -1)))
         rest = F.coalesce(paren, dollar, line, F.when(raw != "", clean_answer(raw)))
         return let(filled(boxed_last(raw)), lambda boxed: F.when(boxed.isNotNull(), clean_answer(boxed)).otherwise(rest))
@@ -79,15 +97,15 @@ def high_confidence_reference(c: Column | str) -> Column:
     found = filled(normalise_reference(raw))
     rows = full_lines(raw)
     short = (F.size(rows) == 1) & (F.size(words(F.get(rows, F.lit(0)))) <= 6)
-    says = raw.rlike(r"(?i)(?:final\s+answer|answer|ans)\s*(?:is|:|=)")
+    says = raw.rlike(SAYS_ANSWER)
     return F.when(F.contains(raw, F.lit(BOX)) | says | short, found)
 
 
 def expected_number(c: Column | str) -> Column:
     """The number after ####, else the last number, else the stripped text."""
     c = col(c)
-    hashed = F.regexp_extract(c, r"####\s*([\d,\.]+)", 1)
-    return F.when(hashed != "", strip(F.replace(hashed, F.lit(","), F.lit("")))).otherwise(F.coalesce(last_match(c, r"(-?\b\d+(?:\.\d+)?\b)"), strip(c)))
+    hashed = F.regexp_extract(c, HASHED_NUMBER, 1)
+    return F.when(hashed != "", strip(F.replace(hashed, F.lit(","), F.lit("")))).otherwise(F.coalesce(last_match(c, LAST_NUMBER), strip(c)))
 
 
 def eval_answer(after: Column | str, reasoning: Column | str) -> Column:
@@ -96,23 +114,19 @@ def eval_answer(after: Column | str, reasoning: Column | str) -> Column:
     full = F.concat(after, F.lit(" "), reasoning)
     bare = lambda x: strip(F.replace(x, F.lit(","), F.lit("")))
     no_commas = lambda x: F.replace(x, F.lit(","), F.lit(""))
-    cleaned = strip(F.regexp_replace(after, r"(?s)<\.\.\.>.*?</\.\.\.>", ""))
+    cleaned = strip(F.regexp_replace(after, DOTTED_TAG, ""))
     return F.coalesce(
         bare(boxed_flat_first(after)),
-        no_commas(extract(cleaned, r"\$?\s*(-?\d+(?:[.,]\d+)?(?:/\d+)?)")),
+        no_commas(extract(cleaned, FIRST_NUMBER)),
         bare(boxed_flat_last(reasoning)),
-        no_commas(extract(full, r"(?:[Ff]inal\s+[Aa]nswer|[Tt]he\s+answer\s+is)\s*[:\-=]?\s*\$?\s*(-?\d+(?:\.\d+)?(?:/\d+)?)")),
-        no_commas(last_match(full, r"\*\*\$?(-?[\d,]+\.?\d*)\*\*")),
-        no_commas(last_match(reasoning, r"=\s*\$?(-?[\d,]+\.?\d*)\s*(?:\.|$|\n)")),
-        last_match(full, r"(-?\b\d+(?:\.\d+)?\b)"),
+        no_commas(extract(full, STATED_NUMBER)),
+        no_commas(last_match(full, BOLD_NUMBER)),
+        no_commas(last_match(reasoning, EQUALS_NUMBER)),
+        last_match(full, LAST_NUMBER),
         F.lit(""),
     )
 
 
-_STRICT_FINAL = r"(?i)(?:^|\\b)(?:final answer|answer|ans|答案|最終答案)\s*(?:is|:|=|是|為|：)?\s*(.+)$"
-_FINAL = r"(?i)(?:^|\b)(?:final answer|answer|ans|答案|最終答案)\s*(?:is|:|=|是|為|：)?\s*(.+)$"
-
-
 def unwrap_display(c: Column, strict: bool = False) -> Column:
     """One layer of $$, $, \\( \\) or \\[ \\] less; ``strict`` looks for the last two with doubled backslashes."""
     slash = "\\\\" if strict else "\\"
@@ -143,14 +157,14 @@ def clean_candidate(c: Column | str, strict: bool = False) -> Column:
 
 def final_answer_line(c: Column | str, strict: bool = False) -> Column:
     """From the last line that states an answer."""
-    pattern = _STRICT_FINAL if strict else _FINAL
+    pattern = FINAL_STRICT if strict else FINAL
     hits = F.filter(full_lines(c), lambda x: x.rlike(pattern))
     return clean_candidate(F.when(F.size(hits) > 0, F.regexp_extract(F.element_at(F.nullif(hits, F.array().cast("array<string>")), -1), pattern, 1)), strict)
 
 
 def _answer_like(x: Column, strict: bool) -> Column:
     slash = r"\\\\" if strict else r"\\"
-    prose = F.lower(x).rlike("therefore|because|explain|proof")
+    prose = F.lower(x).rlike(PROSE)
     return (F.size(words(x)) <= 18) & ~prose & x.rlike(r"[0-9]|" + slash + r"|=|\^|/|\(|\)|\[|\]|\{|\}|%|π|sqrt")
 
 
@@ -244,5 +258,5 @@ def eval_verify(predicted: Column | str, expected: Column | str) -> Column:
 
 def calculator_answer(solution: Column | str) -> Column:
     """First flat box, else what follows "answer" up to a line feed or period."""
-    return F.coalesce(filled(strip(boxed_flat_first(solution))), filled_strip(F.regexp_extract(col(solution), r"(?i)(?:final\s+)?answer[:\s]+([^\n.]+)", 1)))
+    return F.coalesce(filled(strip(boxed_flat_first(solution))), filled_strip(F.regexp_extract(col(solution), AFTER_ANSWER, 1)))
 

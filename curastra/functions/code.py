@@ -19,6 +19,11 @@ BANNED = (
     r"\bos\.unlink\s*\(", r"shell\s*=\s*True", r"\bimport\s+ctypes\b", r"\bimport\s+pickle\b",
 )
 WARNINGS = (r"\bimport\s+sys\b", r"\bimport\s+os\b", r"\bgetattr\s*\(", r"\bsetattr\s*\(")
+# Lines of a test runner's log, and marks of solution and test blocks.
+PASSED, FAILED, ERRORS, SECONDS = r"(\d+) passed", r"(\d+) failed", r"(\d+) error", r"in\s+([\d.]+)s"
+FAILED_TEST = r"FAILED\s+test_solution\.py::(test_\w+)"
+SOLUTION_BLOCK = r"(?is)<\|Solution Begin\|>(.*?)<\|Solution End\|>"
+TEST_BLOCK = r"(?is)<\|Test Begin\|>(.*?)<\|Test End\|>"
 
 
 def _matching(c: Column, patterns: tuple[str, ...]) -> Column:
@@ -58,10 +63,10 @@ def test_log(c: Column | str) -> Column:
     c = F.coalesce(col(c), F.lit(""))
     number = lambda p: filled(F.regexp_extract(c, p, 1)).try_cast("int")
     return F.struct(
-        F.coalesce(number(r"(\d+) passed"), F.lit(0)).alias("tests_passed"),
-        F.coalesce(number(r"(\d+) failed"), number(r"(\d+) error"), F.lit(0)).alias("tests_failed"),
-        filled(F.regexp_extract(c, r"in\s+([\d.]+)s", 1)).try_cast("double").alias("seconds"),
-        filled(F.regexp_extract(c, r"FAILED\s+test_solution\.py::(test_\w+)", 1)).alias("failed_test"),
+        F.coalesce(number(PASSED), F.lit(0)).alias("tests_passed"),
+        F.coalesce(number(FAILED), number(ERRORS), F.lit(0)).alias("tests_failed"),
+        filled(F.regexp_extract(c, SECONDS, 1)).try_cast("double").alias("seconds"),
+        filled(F.regexp_extract(c, FAILED_TEST, 1)).alias("failed_test"),
     )
 
 
@@ -77,7 +82,7 @@ def _unfenced(c: Column) -> Column:
 def code_blocks(c: Column | str) -> tuple[Column, Column]:
     """(solution, tests): tagged blocks without fences if both are there, else first and last fenced block."""
     c = col(c)
-    sol, test = r"(?is)<\|Solution Begin\|>(.*?)<\|Solution End\|>", r"(?is)<\|Test Begin\|>(.*?)<\|Test End\|>"
+    sol, test = SOLUTION_BLOCK, TEST_BLOCK
     tagged = c.rlike(sol) & c.rlike(test)
     fenced = all_matches(c, r"(?is)```python(.*?)```")
     solution = F.when(tagged, _unfenced(F.regexp_extract(c, sol, 1))).when(F.size(fenced) > 0, strip(F.get(fenced, F.lit(0)))).otherwise("pass")
@@ -89,7 +94,7 @@ def strict_code_blocks(c: Column | str) -> tuple[Column, Column]:
     """Tagged blocks; else two different fenced blocks of which the first defines solve; else one block that is cut at
     its first test; else two empty strings."""
     c = col(c)
-    sol, test = r"(?is)<\|Solution Begin\|>(.*?)<\|Solution End\|>", r"(?is)<\|Test Begin\|>(.*?)<\|Test End\|>"
+    sol, test = SOLUTION_BLOCK, TEST_BLOCK
     bare = lambda x: strip(F.regexp_replace(_unfenced(x), r"(?md)^```\s*$", ""))
     tagged = c.rlike(sol) & c.rlike(test)
     fenced = F.transform(all_matches(c, r"(?s)```python(.*?)```"), strip)

@@ -7,10 +7,18 @@ from pyspark.sql import functions as F
 
 from .text import col, filled, strip
 
+# Patterns of reasoning blocks, and the remark in place of a missing one.
+THINK_INSIDE = r"(?is)<think>(.*?)</think>"
+THINK_WHOLE = r"(?is)(<think>.*?</think>)"
+THINK_OPENER = r"(?i)<think[^>]*>"
+SOLUTION_START = r"(?i)<\|Solution Begin\|>|```python"
+CLOSERS = ("</think>", "</thinking>", "</thought>")
+NO_REASONING = "No reasoning found."
+
 
 def think_block(c: Column | str) -> Column:
     """Inside of the first <think>...</think>, stripped; '' without one."""
-    return strip(F.regexp_extract(col(c), r"(?is)<think>(.*?)</think>", 1))
+    return strip(F.regexp_extract(col(c), THINK_INSIDE, 1))
 
 
 def after_think(c: Column | str) -> Column:
@@ -24,16 +32,14 @@ def after_think(c: Column | str) -> Column:
 def think_with_tags(c: Column | str) -> Column:
     """The first block with its tags; without one the whole text in tags, '' if blank."""
     c = col(c)
-    found = filled(strip(F.regexp_extract(c, r"(?is)(<think>.*?</think>)", 1)))
+    found = filled(strip(F.regexp_extract(c, THINK_WHOLE, 1)))
     return F.coalesce(found, F.when(strip(c) != "", F.concat(F.lit("<think>\n"), strip(c), F.lit("\n</think>"))).otherwise(F.lit("")))
 
 
 def think_or_preamble(c: Column | str) -> Column:
     """The first block, else what stands before the first solution block, else a fixed remark."""
     c = col(c)
-    block = r"(?is)<think>.*?</think>"
-    before = r"(?i)<\|Solution Begin\|>|```python"
-    return F.when(c.rlike(block), think_block(c)).when(c.rlike(before), strip(F.split(c, before, 2)[0])).otherwise(F.lit("No reasoning found."))
+    return F.when(c.rlike(THINK_WHOLE), think_block(c)).when(c.rlike(SOLUTION_START), strip(F.split(c, SOLUTION_START, 2)[0])).otherwise(F.lit(NO_REASONING))
 
 
 def eval_split(c: Column | str) -> tuple[Column, Column]:
@@ -44,11 +50,11 @@ def eval_split(c: Column | str) -> tuple[Column, Column]:
     c = col(c)
     low = F.lower(c)
     reasoning, after = F.when(F.lit(False), c), F.when(F.lit(False), c)
-    for tag in ("</think>", "</thinking>", "</thought>"):
+    for tag in CLOSERS:
         at = F.locate(tag, low)
         there = at > 0
         head = F.substring(c, F.lit(1), at - 1)
-        reasoning = reasoning.when(there, strip(F.regexp_replace(head, r"(?i)<think[^>]*>", "")))
+        reasoning = reasoning.when(there, strip(F.regexp_replace(head, THINK_OPENER, "")))
         after = after.when(there, strip(F.substring(c, at + len(tag), F.length(c))))
     return reasoning.otherwise(strip(c)), after.otherwise(F.lit(""))
 
