@@ -1,7 +1,7 @@
 """Greedy near-duplicate removal on vectors: a row stays iff no earlier row that stayed is more similar than a threshold.
 
-That is the lexicographically first maximal independent set of the similarity graph. The graph comes from an exact join in
-blocks (matrix products in Arrow batches, only pairs above the threshold leave a block), and rounds settle it: a row with no
+That is the lexicographically first maximal independent set of the similarity graph. Pairs come from an exact join in blocks
+(matrix products in Arrow batches, only pairs above the threshold leave a block), and rounds settle them: a row with no
 undecided or kept earlier neighbour stays, a row with a kept earlier neighbour goes.
 """
 
@@ -11,57 +11,108 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import importable
 from .scratch import cut
 
 FLOOR = 1e-9
+#: Blocks of a table in a join with itself, so that a row is sent so many times; more only where a block would outgrow BLOCK_BYTES.
+BLOCKS = 16
+BLOCK_BYTES = 64 << 20
 
 
-def similar_pairs(df: DataFrame, order: str, vector: str, threshold: float = 0.92, block: int = 1024) -> DataFrame:
-    """(a, b), a < b in order, with cosine above the threshold; vectors of null or other length take no part."""
+def _vectors(df: DataFrame, order: str, vector: str) -> tuple[DataFrame, int, int]:
+    """(id, v) with vectors of the commonest length, their number and length."""
     importable(df.sparkSession)
-    n = max(1, df.count())
-    blocks = -(-n // block)
-    rows = df.select(F.col(order).cast("long").alias("id"), F.transform(F.col(vector), lambda x: x.cast("double")).alias("v")).where("v IS NOT NULL AND id IS NOT NULL")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.lit(blocks))).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    rows = rows.select(F.least("own", "k").alias("bi"), F.greatest("own", "k").alias("bj"), "own", "id", "v")
+    v = F.col(vector) if dict(df.dtypes)[vector] == "array<float>" else F.transform(F.col(vector), lambda x: x.cast("double"))
+    rows = df.select(F.col(order).cast("long").alias("id"), v.alias("v")).where("v IS NOT NULL AND id IS NOT NULL")
+    common = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
+    n, d = (common["count"], common["d"]) if common else (0, 0)
+    return rows.where(F.size("v") == d), n, d
+
+
+def _blocks(n: int, d: int, block: int, most: int = BLOCKS) -> int:
+    return max(1, min(-(-n // block), most), -(-n * max(d, 1) * 8 // BLOCK_BYTES))
+
+
+def _own(blocks: int) -> Column:
+    return F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("long")
+
+
+def _in_cells(rows: DataFrame, cells: int, run, schema: str) -> DataFrame:
+    """``run`` over rows (cell, side, id, v), each cell in a task of its own, side 0 first."""
+    return rows.repartitionById(cells, F.col("cell").cast("int")).sortWithinPartitions("cell", "side").mapInArrow(run, schema)
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(cell, side, ids, unit vectors) of sorted rows, up to ``block`` rows at a time."""
+
+    def whole(key, parts):
+        x = np.concatenate([p[1] for p in parts])
+        return *key, np.concatenate([p[0] for p in parts]), x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), FLOOR)
+
+    now, held, size = None, [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cell, side, ids = (batch.column(c).to_numpy() for c in range(3))
+        x = batch.column(3).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(ids), -1)
+        s = 0
+        while s < len(ids):
+            key = (int(cell[s]), int(side[s]))
+            if held and (key != now or size == block):
+                yield whole(now, held)
+                held, size = [], 0
+            now = key
+            same = (cell[s : s + block - size] == key[0]) & (side[s : s + block - size] == key[1])
+            e = s + (len(same) if same.all() else int(same.argmin()))
+            held.append((ids[s:e], x[s:e]))
+            size, s = size + e - s, e
+    if held:
+        yield whole(now, held)
+
+
+def similar_pairs(df: DataFrame, order: str, vector: str, threshold: float = 0.92, block: int = 1024) -> DataFrame:
+    """(a, b), a < b in order, with cosine above the threshold; vectors of null or other length take no part.
+
+    A task joins two of at most BLOCKS blocks (more only beyond BLOCK_BYTES), the second in pieces of ``block`` rows.
+    """
+    return _pairs(*_vectors(df, order, vector), threshold, block)
+
+
+def _pairs(rows: DataFrame, n: int, d: int, threshold: float, block: int) -> DataFrame:
+    blocks = _blocks(n, d, block)
+    rows = rows.withColumn("own", _own(blocks)).withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    low, high = F.least("own", "k"), F.greatest("own", "k")
+    # cells of the upper triangle, row by row
+    cell = F.expr(f"least(own, k) * {blocks} - least(own, k) * (least(own, k) - 1) div 2") + high - low
+    rows = rows.select(cell.alias("cell"), (F.col("own") != low).cast("int").alias("side"), "id", "v")
+
+    squares = {i * blocks - i * (i - 1) // 2 for i in range(blocks)}
+
+    def pairs(left, right):
+        at = np.flatnonzero((left[1] @ right[1].T > threshold).ravel())
+        i, j = np.divmod(at, len(right[0]))
+        a, b = left[0][i], right[0][j]
+        keep = a < b if left is right else a != b
+        a, b = a[keep], b[keep]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, now = [], None
-
-        def pairs(parts):
-            own = np.concatenate([p[0] for p in parts])
-            ids = np.concatenate([p[1] for p in parts])
-            x = np.concatenate([p[2] for p in parts])
-            x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), FLOOR)
-            left = own == now[0]
-            right = left if now[0] == now[1] else ~left
-            i, j = np.nonzero(x[left] @ x[right].T > threshold)
-            a, b = ids[left][i], ids[right][j]
-            keep = a < b if now[0] == now[1] else a != b
-            a, b = a[keep], b[keep]
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
-        for batch in batches:
-            bi, bj, own, ids = (batch.column(c).to_numpy() for c in range(4))
-            v = batch.column(4)
-            x = v.flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
-            cuts = [0, *(np.flatnonzero((bi[1:] != bi[:-1]) | (bj[1:] != bj[:-1])) + 1).tolist(), len(ids)]
-            for s, e in zip(cuts[:-1], cuts[1:]):
-                if s < e:
-                    key = (bi[s], bj[s])
-                    if held and key != now:
-                        yield pairs(held)
-                        held = []
-                    now = key
-                    held.append((own[s:e], ids[s:e], x[s:e]))
-        if held:
-            yield pairs(held)
-
-    return rows.repartition("bi", "bj").sortWithinPartitions("bi", "bj").mapInArrow(run, "a long, b long")
+        now, first = None, []
+        for cell, side, ids, x in _pieces(batches, block):
+            if cell != now:
+                now, first = cell, []
+            piece = (ids, x)
+            if side == 0:
+                first.append(piece)
+            # a block with itself has no second side
+            for left in first if side or cell in squares else ():
+                yield pairs(left, piece)
+
+    return _in_cells(rows, blocks * (blocks + 1) // 2, run, "a long, b long")
 
 
 def semantic_dedup(df: DataFrame, order: str, vector: str, threshold: float = 0.92) -> DataFrame:

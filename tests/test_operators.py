@@ -79,6 +79,21 @@ def test_semantic_dedup_is_the_greedy_rule(spark):
     assert len(semantic.similar_pairs(df, "id", "v", 0.5, block=64).collect()) == int(np.triu((lambda u: u @ u.T)(x / np.linalg.norm(x, axis=1, keepdims=True)) > 0.5, 1).sum())
 
 
+def test_similar_pairs_sends_a_row_to_few_blocks(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1500, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(1500, None), (1501, [1.0])], "id long, v array<double>")
+    sent = {}
+    for n in (750, 1500):
+        pairs = semantic.similar_pairs(df.where(F.col("id") < n), "id", "v", 0.8, block=8)
+        sent[n] = pairs._jdf.queryExecution().toRdd().getNumPartitions()
+    assert sent[750] == sent[1500] == semantic.BLOCKS * (semantic.BLOCKS + 1) // 2
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = {(int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(unit @ unit.T > 0.8, 1)))}
+    got = [(r.a, r.b) for r in semantic.similar_pairs(df, "id", "v", 0.8, block=8).collect()]
+    assert set(got) == want and len(got) == len(want)
+
+
 def test_providers(spark):
     assert providers.parse_chat({"choices": [{"message": {"content": [{"text": "a"}, {"text": "b"}]}}]}) == "ab"
     assert providers.parse_chat({"choices": [{"message": {"content": "x", "reasoning_content": "r"}}]}) == "<think>r</think>\nx" and providers.parse_chat({}) is None
