@@ -1,13 +1,14 @@
 """Greedy near-duplicate removal on vectors: a row stays iff no earlier row that stayed is more similar than a threshold.
 
 That is the lexicographically first maximal independent set of the similarity graph. Pairs come from an exact join in blocks
-(matrix products in Arrow batches, only pairs above the threshold leave a block), and rounds settle them: a row with no
-undecided or kept earlier neighbour stays, a row with a kept earlier neighbour goes.
+(matrix products in Arrow batches, only pairs above the threshold leave a block), and rounds settle them stretch by stretch: a
+row with no undecided or kept earlier neighbour stays, a row with a kept earlier neighbour goes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,8 @@ FLOOR = 1e-9
 #: Blocks of a table in a join with itself, so that a row is sent so many times; more only where a block would outgrow BLOCK_BYTES.
 BLOCKS = 16
 BLOCK_BYTES = 64 << 20
+#: Rows of the first stretch that is settled, how much longer the next ones are, and pairs a row beyond which a stretch is halved.
+FIRST, STEP, PAIRS = 4096, 4, 256
 
 
 def _vectors(df: DataFrame, order: str, vector: str) -> tuple[DataFrame, int, int]:
@@ -115,10 +118,33 @@ def _pairs(rows: DataFrame, n: int, d: int, threshold: float, block: int) -> Dat
     return _in_cells(rows, blocks * (blocks + 1) // 2, run, "a long, b long")
 
 
-def semantic_dedup(df: DataFrame, order: str, vector: str, threshold: float = 0.92) -> DataFrame:
-    """The rows that stay, in the sense above; rows without a vector stay."""
-    edges = cut(similar_pairs(df, order, vector, threshold).distinct())
-    gone = None
+def _covered(kept: DataFrame, n_kept: int, rest: DataFrame, n_rest: int, d: int, threshold: float, block: int) -> DataFrame:
+    """(v): ids of ``rest`` with a vector of ``kept`` above the threshold. Only ``kept`` is held, in as few blocks as fit."""
+    rows_of, columns = _blocks(n_kept, d, block, 1), max(1, min(-(-n_rest // (4 * block)), max(BLOCKS, n_rest // max(n_kept, 1))))
+    spread_over = lambda k: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(k - 1).cast("long")))
+    held = kept.withColumn("own", _own(rows_of)).withColumn("k", spread_over(columns)).select((F.col("own") * columns + F.col("k")).alias("cell"), F.lit(0).alias("side"), "id", "v")
+    asked = rest.withColumn("own", _own(columns)).withColumn("k", spread_over(rows_of)).select((F.col("k") * columns + F.col("own")).alias("cell"), F.lit(1).alias("side"), "id", "v")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, first = None, []
+        for cell, side, ids, x in _pieces(batches, block):
+            if cell != now:
+                now, first = cell, []
+            if side == 0:
+                first.append(x)
+                continue
+            gone = np.zeros(len(ids), dtype=bool)
+            for left in first:
+                at = np.flatnonzero(~gone)
+                gone[at] = (left @ x[at].T > threshold).any(axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[gone])], names=["v"])
+
+    return _in_cells(held.unionAll(asked), rows_of * columns, run, "v long")
+
+
+def _settled(edges: DataFrame) -> DataFrame | None:
+    """(v): the rows that go by the rule, of the graph of these pairs; None if there are none."""
+    edges, gone = cut(edges.distinct()), None
     while not edges.isEmpty():
         # a vertex without an undecided earlier neighbour is settled: it stays
         later = edges.select(F.col("b").alias("v")).distinct()
@@ -126,4 +152,51 @@ def semantic_dedup(df: DataFrame, order: str, vector: str, threshold: float = 0.
         out = cut(edges.join(stays.withColumnRenamed("v", "a"), "a", "left_semi").select(F.col("b").alias("v")).distinct())
         gone = out if gone is None else gone.unionAll(out)
         edges = cut(edges.join(out.withColumnRenamed("v", "a"), "a", "left_anti").join(out.withColumnRenamed("v", "b"), "b", "left_anti").join(stays.withColumnRenamed("v", "a"), "a", "left_anti"))
-    return df if gone is None else df.join(gone.select(F.col("v").alias(order)).distinct(), order, "left_anti")
+    return gone
+
+
+def _first_copies(rows: DataFrame, threshold: float) -> DataFrame:
+    """The rows without later copies of a vector, which go whatever their first one does; all rows if an id is there twice."""
+    if threshold >= 1 - FLOOR or not rows.groupBy("id").count().where("count > 1").isEmpty():
+        return rows
+    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    proper = (square > FLOOR) & (square < float("inf"))
+    return rows.where(proper).groupBy("v").agg(F.min("id").alias("id")).select("id", "v").unionAll(rows.where(~proper))
+
+
+def semantic_dedup(df: DataFrame, order: str, vector: str, threshold: float = 0.92, block: int = 1024) -> DataFrame:
+    """The rows that stay, in the sense above; rows without a vector stay.
+
+    Rows are settled in stretches of their order, each STEP times as long as all before. What a settled stretch keeps first
+    removes its neighbours from the rest, so that few pairs are left in a stretch, and those alone are ever written. A
+    stretch of more than PAIRS pairs a row is halved.
+    """
+    rows, n, d = _vectors(df, order, vector)
+    rows = cut(rows)
+    left = cut(_first_copies(rows, threshold))
+    parts = [cut(rows.select(F.col("id").alias("v")).join(left.select(F.col("id").alias("v")), "v", "left_anti"))]
+    shares = [FIRST * STEP**k / n for k in range(64) if FIRST * STEP**k < n]
+    ends: list[int | None] = [*sorted({int(x) for x in left.approxQuantile("id", shares, 0.001)}), None] if shares else [None]
+    while ends:
+        end = ends.pop(0)
+        now = left if end is None else left.where(F.col("id") <= end)
+        m = now.count()
+        pairs = _pairs(now, m, d, threshold, block)
+        if m > FIRST and pairs.count() > PAIRS * m:
+            lowest, middle, highest = now.agg(F.min("id"), F.expr("percentile_approx(id, 0.5)"), F.max("id")).first()
+            middle = middle if middle < highest else (lowest if lowest < highest else None)
+            if middle is not None:
+                ends[:0] = [middle, end]
+                continue
+        gone = _settled(pairs)
+        if gone is not None:
+            parts.append(gone)
+        if end is None:
+            break
+        kept = now if gone is None else now.join(gone.select(F.col("v").alias("id")).distinct(), "id", "left_anti")
+        rest = left.where(F.col("id") > end)
+        out = cut(_covered(kept, kept.count(), rest, rest.count(), d, threshold, block).distinct())
+        parts.append(out)
+        left = cut(rest.join(out.withColumnRenamed("v", "id"), "id", "left_anti"))
+    gone = reduce(DataFrame.unionAll, parts)
+    return df.join(gone.select(F.col("v").alias(order)).distinct(), order, "left_anti")

@@ -94,6 +94,23 @@ def test_similar_pairs_sends_a_row_to_few_blocks(spark):
     assert set(got) == want and len(got) == len(want)
 
 
+def test_semantic_dedup_in_stretches(spark, monkeypatch):
+    monkeypatch.setattr(semantic, "FIRST", 40)
+    monkeypatch.setattr(semantic, "PAIRS", 2)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(700, 6))
+    x[300:420] = x[299]  # many copies, some near ones, one without direction
+    x[500:520] = x[499] + rng.normal(size=(20, 6)) * 0.01
+    x[600] = 0
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(700, None)], "id long, v array<double>")
+    written, pairs = [], semantic._settled
+    monkeypatch.setattr(semantic, "_settled", lambda edges: (written.append(edges.count()), pairs(edges))[1])
+    assert ids(semantic.semantic_dedup(df, "id", "v", 0.7)) == [*brute_greedy(x, 0.7), 700]
+    assert 3 < len(written) and sum(written) < 0.2 * semantic.similar_pairs(df, "id", "v", 0.7).count()
+    twice = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (1, [0.9, 0.1]), (2, [0.0, 1.0])], "id long, v array<double>")
+    assert ids(semantic.semantic_dedup(twice, "id", "v", 0.9)) == [0, 2]
+
+
 def test_providers(spark):
     assert providers.parse_chat({"choices": [{"message": {"content": [{"text": "a"}, {"text": "b"}]}}]}) == "ab"
     assert providers.parse_chat({"choices": [{"message": {"content": "x", "reasoning_content": "r"}}]}) == "<think>r</think>\nx" and providers.parse_chat({}) is None
