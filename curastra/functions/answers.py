@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col, collapse, extract, filled, filled_strip, full_lines, last_match, let, strip, words
+from .text import col, collapse, contains_any, extract, filled, filled_once, filled_strip, full_lines, last_match, let, strip, words
 from .thinking import after_think, think_block
 
 # Patterns of answers.
@@ -25,7 +25,9 @@ BOLD_NUMBER = r"\*\*\$?(-?[\d,]+\.?\d*)\*\*"
 EQUALS_NUMBER = r"=\s*\$?(-?[\d,]+\.?\d*)\s*(?:\.|$|\n)"
 FINAL_STRICT = r"(?i)(?:^|\\b)(?:final answer|answer|ans|答案|最終答案)\s*(?:is|:|=|是|為|：)?\s*(.+)$"
 FINAL = r"(?i)(?:^|\b)(?:final answer|answer|ans|答案|最終答案)\s*(?:is|:|=|是|為|：)?\s*(.+)$"
-PROSE = "therefore|because|explain|proof"
+PROSE = ("therefore", "because", "explain", "proof")
+#: What the pattern of trailing noise may stand before or at: noise, and line ends, before which $ matches too.
+ENDS = (" ", ".", ";", ",", "\n", "\r", "\x85", "\u2028", "\u2029")
 AFTER_ANSWER = r"(?i)(?:final\s+)?answer[:\s]+([^\n.]+)"
 
 
@@ -104,24 +106,28 @@ def high_confidence_reference(c: Column | str) -> Column:
 def expected_number(c: Column | str) -> Column:
     """The number after ####, else the last number, else the stripped text."""
     c = col(c)
-    hashed = F.regexp_extract(c, HASHED_NUMBER, 1)
-    return F.when(hashed != "", strip(F.replace(hashed, F.lit(","), F.lit("")))).otherwise(F.coalesce(last_match(c, LAST_NUMBER), strip(c)))
+    hashed = F.when(F.contains(c, F.lit("####")), extract(c, HASHED_NUMBER))
+    return F.coalesce(strip(F.replace(hashed, F.lit(","), F.lit(""))), last_match(c, LAST_NUMBER), strip(c))
 
 
 def eval_answer(after: Column | str, reasoning: Column | str) -> Column:
-    """Answer of a generation in seven steps of falling reliability; '' if none applies."""
+    """Answer of a generation in seven steps of falling reliability; '' if none applies.
+
+    Arguments are read many times, so that computed ones should be columns. Plain marks go before the patterns that need them.
+    """
     after, reasoning = F.coalesce(col(after), F.lit("")), F.coalesce(col(reasoning), F.lit(""))
     full = F.concat(after, F.lit(" "), reasoning)
     bare = lambda x: strip(F.replace(x, F.lit(","), F.lit("")))
     no_commas = lambda x: F.replace(x, F.lit(","), F.lit(""))
-    cleaned = strip(F.regexp_replace(after, DOTTED_TAG, ""))
+    cleaned = strip(F.when(F.contains(after, F.lit("<...>")), F.regexp_replace(after, DOTTED_TAG, "")).otherwise(after))
+    marked = lambda x, mark, found: F.when(F.contains(x, F.lit(mark)), found)
     return F.coalesce(
-        bare(boxed_flat_first(after)),
-        no_commas(extract(cleaned, FIRST_NUMBER)),
-        bare(boxed_flat_last(reasoning)),
-        no_commas(extract(full, STATED_NUMBER)),
-        no_commas(last_match(full, BOLD_NUMBER)),
-        no_commas(last_match(reasoning, EQUALS_NUMBER)),
+        marked(after, BOX, bare(boxed_flat_first(after))),
+        F.when(after != "", no_commas(extract(cleaned, FIRST_NUMBER))),
+        marked(reasoning, BOX, bare(boxed_flat_last(reasoning))),
+        marked(full, "nswer", no_commas(extract(full, STATED_NUMBER))),
+        marked(full, "**", no_commas(last_match(full, BOLD_NUMBER))),
+        marked(reasoning, "=", no_commas(last_match(reasoning, EQUALS_NUMBER))),
         last_match(full, LAST_NUMBER),
         F.lit(""),
     )
@@ -143,35 +149,39 @@ def unwrap_display(c: Column, strict: bool = False) -> Column:
 
 def clean_candidate(c: Column | str, strict: bool = False) -> Column:
     """A candidate answer span without wrappers and trailing noise; null if blank or a leftover think tag."""
-    untagged = lambda s: F.when(~F.lower(s).rlike("</?think"), s)
+    # plain marks go before the patterns that need them
+    untagged = lambda s: F.when(~F.contains(s, F.lit("<")) | ~contains_any(F.lower(s), ("<think", "</think")), s)
+    unticked = lambda s: F.when(F.contains(s, F.lit("`")), F.regexp_replace(s, "^[` ]+|[` ]+$", "")).otherwise(s)
+    unended = lambda s: F.when(F.right(s, F.lit(1)).isin(*ENDS), F.regexp_replace(s, r"[ .;,]+$", "")).otherwise(s)
+    unpriced = lambda s: F.when(F.contains(s, F.lit("$")), F.regexp_replace(s, r"^\$+|\$+$", "")).otherwise(s)
     unbold = lambda s: F.when(s.startswith("**") & s.endswith("**") & (F.length(s) > 4), strip(F.substring(s, F.lit(3), F.length(s) - 4))).otherwise(s)
 
     def of(s: Column) -> Column:
-        s = F.coalesce(filled(boxed_last(s)), s)
-        s = F.regexp_replace(unwrap_display(s, strict), r"[ .;,]+$", "")
-        s = let(strip(F.regexp_replace(s, r"^\$+|\$+$", "")), unbold)
-        return let(filled_strip(s), untagged)
+        s = F.coalesce(F.when(F.contains(s, F.lit(BOX)), filled_once(boxed_last(s))), s)
+        s = let(let(unwrap_display(s, strict), unended), unpriced)
+        return let(filled_strip(let(strip(s), unbold)), untagged)
 
-    return let(let(filled(F.regexp_replace(strip(c), "^[` ]+|[` ]+$", "")), untagged), of)
+    return let(let(filled_once(let(strip(c), unticked)), untagged), of)
 
 
 def final_answer_line(c: Column | str, strict: bool = False) -> Column:
     """From the last line that states an answer."""
     pattern = FINAL_STRICT if strict else FINAL
-    hits = F.filter(full_lines(c), lambda x: x.rlike(pattern))
-    return clean_candidate(F.when(F.size(hits) > 0, F.regexp_extract(F.element_at(F.nullif(hits, F.array().cast("array<string>")), -1), pattern, 1)), strict)
+    stated = lambda t: F.regexp_extract(F.try_element_at(F.filter(full_lines(t), lambda x: x.rlike(pattern)), F.lit(-1)), pattern, 1)
+    return let(col(c), lambda t: F.when(contains_any(F.lower(t), ("ans", "答案")), clean_candidate(stated(t), strict)))
 
 
 def _answer_like(x: Column, strict: bool) -> Column:
     slash = r"\\\\" if strict else r"\\"
-    prose = F.lower(x).rlike(PROSE)
+    prose = let(F.lower(x), lambda low: contains_any(low, PROSE))
     return (F.size(words(x)) <= 18) & ~prose & x.rlike(r"[0-9]|" + slash + r"|=|\^|/|\(|\)|\[|\]|\{|\}|%|π|sqrt")
 
 
 def tail_line(c: Column | str, strict: bool = False) -> Column:
     """The last line that looks like an answer."""
-    found = F.filter(F.transform(F.reverse(full_lines(c)), lambda x: clean_candidate(x, strict)), lambda x: x.isNotNull() & _answer_like(x, strict))
-    return F.get(found, F.lit(0))
+    like = lambda x: F.when(x.isNotNull() & _answer_like(x, strict), x)
+    # lines above the one found are only passed over
+    return F.aggregate(F.reverse(full_lines(c)), F.lit(None).cast("string"), lambda found, x: F.when(found.isNotNull(), found).otherwise(let(clean_candidate(x, strict), like)))
 
 
 def teacher_answer(c: Column | str, strict: bool = False) -> Column:
@@ -179,9 +189,15 @@ def teacher_answer(c: Column | str, strict: bool = False) -> Column:
 
     ``strict`` keeps patterns whose doubled backslashes match literal ones; the default is what they mean.
     """
-    text, tail, think = col(c), after_think(c), think_block(c)
-    found = [boxed_last(tail), final_answer_line(tail, strict), tail_line(tail, strict), final_answer_line(text, strict), tail_line(think, strict), boxed_last(text)]
-    return F.coalesce(*[clean_candidate(x, strict) for x in found])
+    clean = lambda *found: F.coalesce(*[clean_candidate(x, strict) for x in found])
+
+    def of(text: Column) -> Column:
+        first = let(after_think(text), lambda tail: clean(boxed_last(tail), final_answer_line(tail, strict), tail_line(tail, strict)))
+        rest = clean(final_answer_line(text, strict), tail_line(think_block(text), strict), boxed_last(text))
+        # without a closing tag the tail is the text, and there is no block
+        return F.coalesce(first, F.when(F.contains(F.lower(text), F.lit("</think>")), rest))
+
+    return let(col(c), of)
 
 
 def normalise_compare(c: Column | str) -> Column:
@@ -242,18 +258,21 @@ def verify(reference: Column | str, predicted: Column | str, tolerance: float =
     return judged["verified"], judged["method"]
 
 
-def eval_verify(predicted: Column | str, expected: Column | str) -> Column:
-    """pass, fail or unknown: numbers by difference under 1e-4, other texts by equality (never fail)."""
+def eval_verify(predicted: Column | str, expected: Column | str, want: Column | str | None = None) -> Column:
+    """pass, fail or unknown: numbers by difference under 1e-4, other texts by equality (never fail).
+
+    ``want`` is the expected number, where a column has it already.
+    """
     pred, raw = filled(col(predicted)), filled(col(expected))
-    want = expected_number(raw)
-    number = lambda s: F.when(F.replace(strip(s), F.lit(","), F.lit("")).rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), F.replace(strip(s), F.lit(","), F.lit("")).try_cast("double"))
-    p, e = number(pred), number(want)
-    return (
-        F.when(pred.isNull() | raw.isNull(), "unknown")
-        .when(p.isNotNull() & e.isNotNull(), F.when(F.abs(p - e) < 1e-4, "pass").otherwise("fail"))
-        .when(strip(pred) == strip(want), "pass")
-        .otherwise("unknown")
-    )
+    number = lambda s: let(F.replace(s, F.lit(","), F.lit("")), lambda t: F.when(t.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), t.try_cast("double")))
+
+    def judged(x: Column) -> Column:
+        numbers = F.when(x["p"].isNotNull() & x["e"].isNotNull(), F.when(F.abs(x["p"] - x["e"]) < 1e-4, "pass").otherwise("fail"))
+        return F.coalesce(numbers, F.when(x["pred"] == x["want"], "pass").otherwise("unknown"))
+
+    texts = F.struct(strip(pred).alias("pred"), strip(expected_number(raw) if want is None else col(want)).alias("want"))
+    valued = let(texts, lambda x: F.struct(x["pred"].alias("pred"), x["want"].alias("want"), number(x["pred"]).alias("p"), number(x["want"]).alias("e")))
+    return F.when(pred.isNull() | raw.isNull(), "unknown").otherwise(let(valued, judged))
 
 
 def calculator_answer(solution: Column | str) -> Column:

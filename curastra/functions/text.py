@@ -11,7 +11,8 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-STRIP = r"^\s+|\s+$"
+#: What \s matches.
+BLANKS = " \t\n\x0b\f\r"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -27,7 +28,7 @@ def col(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    return F.regexp_replace(col(c), STRIP, "")
+    return F.btrim(col(c), F.lit(BLANKS))
 
 
 def filled(c: Column | str) -> Column:
@@ -35,8 +36,13 @@ def filled(c: Column | str) -> Column:
     return F.nullif(col(c), F.lit(""))
 
 
+def filled_once(c: Column) -> Column:
+    """The same of a computed string: in a branch, ``filled`` would compute it for the test and again for the value."""
+    return let(c, filled)
+
+
 def filled_strip(c: Column | str) -> Column:
-    return filled(strip(c))
+    return filled_once(strip(c))
 
 
 def first_filled(*cs: Column | str) -> Column:
@@ -99,7 +105,7 @@ def occurrences(c: Column, needle: str) -> Column:
 
 def extract(c: Column | str, pattern: str, group: int = 1) -> Column:
     """The group of the first match, or null where it doesn't match or is empty."""
-    return filled(F.regexp_extract(col(c), pattern, group))
+    return filled_once(F.regexp_extract(col(c), pattern, group))
 
 
 def all_matches(c: Column | str, pattern: str, group: int = 1) -> Column:
@@ -107,7 +113,7 @@ def all_matches(c: Column | str, pattern: str, group: int = 1) -> Column:
 
 
 def last_match(c: Column | str, pattern: str, group: int = 1) -> Column:
-    return F.element_at(F.nullif(all_matches(c, pattern, group), F.array().cast("array<string>")), -1)
+    return F.try_element_at(all_matches(c, pattern, group), F.lit(-1))
 
 
 def lines(c: Column | str) -> Column:

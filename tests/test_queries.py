@@ -52,3 +52,12 @@ def test_entry(spark):
     df = __spark_entry__.entry(spark)
     assert df.count() > 0 and df.schema == __spark_entry__.entry(spark).schema
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+PATTERNS = {"teacher_answers": 260}
+
+
+@pytest.mark.parametrize("name", sorted(PATTERNS))
+def test_patterns_are_read_once(name, spark, sf_dir):
+    plan = catalog.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_") + plan.count("RLIKE(") + plan.count("split(") < PATTERNS[name]
