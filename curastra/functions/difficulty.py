@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col, full_lines, occurrences, strip, word_count
+from .text import col, full_lines, let, occurrences, strip, word_count
 
 # Fixed values.
 RATE_WORDS = ("percent", "ratio", "fraction", "rate", "total", "average", "per", "each")
@@ -25,11 +25,13 @@ SYNTHESIS_NAMES = {1: "Basic", 2: "Elementary", 3: "Intermediate", 4: "Advanced"
 
 def eval_level(c: Column | str) -> Column:
     """0 to 4 from word count, numbers and rate words (as substrings, so that "percent" also counts "per")."""
-    t = F.lower(F.coalesce(col(c), F.lit("")))
-    n = word_count(t)
-    rates = sum((occurrences(t, w) for w in RATE_WORDS), F.lit(0))
-    score = F.when(n > 80, 2).when(n > 50, 1).otherwise(0) + F.when(F.regexp_count(t, F.lit(r"\d+")) > 6, 1).otherwise(0) + F.when(rates > 2, 1).otherwise(0)
-    return F.least(score, F.lit(4))
+
+    def of(t: Column) -> Column:
+        rates = sum((occurrences(t, w) for w in RATE_WORDS), F.lit(0))
+        length = let(word_count(t), lambda n: F.when(n > 80, 2).when(n > 50, 1).otherwise(0))
+        return length + F.when(F.regexp_count(t, F.lit(r"\d+")) > 6, 1).otherwise(0) + F.when(rates > 2, 1).otherwise(0)
+
+    return F.least(let(F.lower(F.coalesce(col(c), F.lit(""))), of), F.lit(4))
 
 
 def reasoning_level(problem: Column | str, trace: Column | str, domain: Column | str, sample_id: Column | str) -> Column:

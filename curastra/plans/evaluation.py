@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import answers, difficulty, thinking
+from ..functions.text import contains_any
 from ..operators import providers
 from ..operators.relational import combine, resume
 
@@ -17,12 +18,13 @@ def results(generations: DataFrame) -> DataFrame:
     """
     rows = generations.where(F.coalesce(F.col("generation"), F.lit("")) != "")
     reasoning, after = thinking.eval_split("generation")
-    closed = F.lower("generation").rlike("</think>|</thinking>|</thought>")
+    closed = contains_any(F.lower("generation"), thinking.CLOSERS)
     rows = rows.withColumn("reasoning", reasoning).withColumn("after", after)
-    rows = rows.withColumn("answer", answers.eval_answer("after", F.when(closed, F.col("reasoning")).otherwise(F.col("generation"))))
+    # what later steps read more than once is a column, computed once
+    rows = rows.withColumn("_why", F.when(closed, F.col("reasoning")).otherwise(F.col("generation"))).withColumn("answer", answers.eval_answer("after", "_why")).drop("_why")
     truth = F.when(F.coalesce(F.col("expected_answer"), F.lit("")) != "", answers.expected_number("expected_answer"))
     response = F.concat(F.lit("<think>"), "reasoning", F.lit("</think>\n"), "answer")
-    rows = rows.withColumn("verification", answers.eval_verify("answer", "expected_answer")).withColumn("ground_truth", truth)
+    rows = rows.withColumn("ground_truth", truth).withColumn("verification", answers.eval_verify("answer", "expected_answer", "ground_truth"))
     return rows.withColumn("response", response).withColumn("difficulty", difficulty.eval_level("problem")).withColumn("domain", F.lit("math"))
 
 
