@@ -54,7 +54,7 @@ def test_entry(spark):
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
-PATTERNS = {"teacher_answers": 260, "eval_verify": 60}
+PATTERNS = {"teacher_answers": 260, "eval_verify": 60, "model_summary": 40}
 
 
 @pytest.mark.parametrize("name", sorted(PATTERNS))
