@@ -23,6 +23,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def apart(value: Column) -> Column:
+    """The same value, with its projection kept out of whole-stage code, where a whole chain of projections becomes one method.
+
+    The JVM never compiles a method over 8,000 bytes; outside, Spark splits a projection into small ones.
+    """
+    return let(value, lambda x: x)
+
+
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -108,6 +116,14 @@ def extract(c: Column | str, pattern: str, group: int = 1) -> Column:
     return filled_once(F.regexp_extract(col(c), pattern, group))
 
 
+def first_match(c: Column | str, pattern: str, group: int = 1) -> Column:
+    """The group of the first match, or null where it doesn't match: in generated code, and once, unlike ``extract``.
+
+    The rest of the text goes to the match, so that there is one at most. ``pattern`` has no | outside of brackets.
+    """
+    return F.try_element_at(all_matches(c, pattern + "(?s:.*)", group), F.lit(1))
+
+
 def all_matches(c: Column | str, pattern: str, group: int = 1) -> Column:
     return F.regexp_extract_all(col(c), F.lit(pattern), F.lit(group))
 

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col, filled, strip
+from .text import col, contains_any, filled, strip
 
 # Patterns of reasoning blocks, and the remark in place of a missing one.
 THINK_INSIDE = r"(?is)<think>(.*?)</think>"
 THINK_WHOLE = r"(?is)(<think>.*?</think>)"
 THINK_OPENER = r"(?i)<think[^>]*>"
 SOLUTION_START = r"(?i)<\|Solution Begin\|>|```python"
+OPENERS = ("<think",)
 CLOSERS = ("</think>", "</thinking>", "</thought>")
 NO_REASONING = "No reasoning found."
 
@@ -47,16 +48,23 @@ def eval_split(c: Column | str) -> tuple[Column, Column]:
 
     Without any closer, all is reasoning and nothing follows; then openers stay.
     """
-    c = col(c)
-    low = F.lower(c)
-    reasoning, after = F.when(F.lit(False), c), F.when(F.lit(False), c)
-    for tag in CLOSERS:
-        at = F.locate(tag, low)
-        there = at > 0
-        head = F.substring(c, F.lit(1), at - 1)
-        reasoning = reasoning.when(there, strip(F.regexp_replace(head, THINK_OPENER, "")))
-        after = after.when(there, strip(F.substring(c, at + len(tag), F.length(c))))
-    return reasoning.otherwise(strip(c)), after.otherwise(F.lit(""))
+    low = F.lower(col(c))
+    tag = closer(low)
+    return split_at(c, low, tag, F.position(tag, low))
+
+
+def closer(low: Column | str) -> Column:
+    """The closing tag that splits a lower-cased text; null without one."""
+    return F.coalesce(*[F.when(F.contains(col(low), F.lit(tag)), tag) for tag in CLOSERS])
+
+
+def split_at(c: Column | str, low: Column | str, tag: Column | str, at: Column | str) -> tuple[Column, Column]:
+    """``eval_split`` where columns have the lower-cased text, its closing tag and that tag's place already."""
+    c, tag, at = col(c), col(tag), col(at)
+    head = F.substring(c, F.lit(1), at - 1)
+    head = F.when(contains_any(col(low), OPENERS), F.regexp_replace(head, THINK_OPENER, "")).otherwise(head)
+    reasoning = F.when(tag.isNotNull(), strip(head)).otherwise(strip(c))
+    return reasoning, F.when(tag.isNotNull(), strip(F.substring(c, at + F.length(tag), F.length(c)))).otherwise(F.lit(""))
 
 
 def assemble(reasoning: Column | str, answer: Column | str) -> Column:

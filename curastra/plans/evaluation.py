@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import answers, difficulty, thinking
-from ..functions.text import contains_any
 from ..operators import providers
 from ..operators.relational import combine, resume
 
@@ -17,11 +16,12 @@ def results(generations: DataFrame) -> DataFrame:
     Without a closing tag the answer is sought in the generation as it is, and the stripped one is the reasoning.
     """
     rows = generations.where(F.coalesce(F.col("generation"), F.lit("")) != "")
-    reasoning, after = thinking.eval_split("generation")
-    closed = contains_any(F.lower("generation"), thinking.CLOSERS)
-    rows = rows.withColumn("reasoning", reasoning).withColumn("after", after)
     # what later steps read more than once is a column, computed once
-    rows = rows.withColumn("_why", F.when(closed, F.col("reasoning")).otherwise(F.col("generation"))).withColumn("answer", answers.eval_answer("after", "_why")).drop("_why")
+    rows = rows.withColumn("_low", F.lower("generation")).withColumn("_tag", thinking.closer("_low")).withColumn("_at", F.position("_tag", "_low"))
+    reasoning, after = thinking.split_at("generation", "_low", "_tag", "_at")
+    rows = rows.withColumn("reasoning", reasoning).withColumn("after", after)
+    rows = rows.withColumn("_why", F.when(F.col("_tag").isNotNull(), F.col("reasoning")).otherwise(F.col("generation")))
+    rows = rows.withColumn("answer", answers.eval_answer("after", "_why")).drop("_low", "_tag", "_at", "_why")
     truth = F.when(F.coalesce(F.col("expected_answer"), F.lit("")) != "", answers.expected_number("expected_answer"))
     response = F.concat(F.lit("<think>"), "reasoning", F.lit("</think>\n"), "answer")
     rows = rows.withColumn("ground_truth", truth).withColumn("verification", answers.eval_verify("answer", "expected_answer", "ground_truth"))

@@ -76,6 +76,17 @@ def test_thinking(value):
     assert value(thinking.assemble(L("r"), L("a"))) == "<think>r</think>\na" and value(thinking.assemble(L(""), L("a"))) == "a"
 
 
+def test_first_match_is_what_extract_finds(value):
+    for pattern in (answers.BOX_FLAT, answers.FIRST_NUMBER, answers.STATED_NUMBER, answers.HASHED_NUMBER):
+        for given in ("none", "", "$ 7/8 then\n9", "\\boxed{3}\\boxed{4}", "#### 1,2. #### 5", "The answer is\n-3.5, the answer is 4", "\u2028 5\x85 6"):
+            assert value(text.first_match(L(given), pattern)) == value(text.extract(L(given), pattern)), (pattern, given)
+
+
+def test_numbers_in_any_form_are_judged(value):
+    for pred, expected, want in (("1e999", "-1e999", "fail"), ("NaN", "NaN", "pass"), ("inf", "5", "unknown"), ("5\u2028", "6", "unknown"), ("5\n,", "6", "fail"), ("5.", "5.00001", "pass"), ("x", "5", "unknown"), ("5", None, "unknown"), ("1d", "1", "unknown")):
+        assert value(answers.eval_verify(L(pred), L(expected).cast("string"), L(expected).cast("string"))) == want, pred
+
+
 def test_flat_box_stops_at_the_first_brace(value):
     assert value(answers.boxed_flat_first(L(r"\boxed{\frac{1}{2}}"))) == r"\frac{1"
 

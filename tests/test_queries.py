@@ -61,3 +61,17 @@ PATTERNS = {"teacher_answers": 260, "eval_verify": 60, "model_summary": 40}
 def test_patterns_are_read_once(name, spark, sf_dir):
     plan = catalog.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("regexp_") + plan.count("RLIKE(") + plan.count("split(") < PATTERNS[name]
+
+
+@pytest.mark.parametrize("name", ["model_summary", "model_compare", "eval_verify"])
+def test_judging_runs_in_compiled_code(name, spark, sf_dir):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        execution = catalog.QUERIES[name](spark, sf_dir)._jdf.queryExecution()
+        made = execution.debug().codegenToSeq()
+        most = max(made.apply(i)._3().maxMethodCodeSize() for i in range(made.size()))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    # lambdas are interpreted row by row, and the JVM never compiles methods over 8,000 bytes
+    assert execution.optimizedPlan().toString().count("lambdafunction(") <= (4 if name == "eval_verify" else 1)
+    assert most < 8000
